@@ -11,7 +11,10 @@ from saleswh.catalog.sql import (
     with_,
 )
 from saleswh.operators import asof, documents, scd2
+from saleswh.operators.timeline import hot_keys
 from saleswh.plans import tables
+from saleswh.sources import read_latest
+from saleswh.storage import new_path
 
 AS_OF = with_(AS_OF_ORDERS)
 SUMMARY_SQL = (
@@ -62,6 +65,7 @@ def as_of_events(spark, d):
     joined = asof.as_of_join(
         events, event_history(spark, d), "user_id", "ts",
         {"held_type": "event_type", "held_since": "valid_from"}, method="sweep",
+        hot=hot_keys(events, "user_id"),  # a user has no more versions than events
     )
     return joined.drop("ts")
 
@@ -140,9 +144,6 @@ def upsert(spark, d):
 @query(AS_OF + SUMMARY_SQL)
 def publish_orders(spark, d):
     """The as-of view sent twice to a new document collection, read back."""
-    from saleswh.sources import read_latest
-    from saleswh.storage import new_path
-
     base = new_path(spark, "orders_summary")
     view = _as_of(spark, d)
     documents.publish_orders(view.filter(F.col("order_date") < F.lit("1999-01-01")), base)

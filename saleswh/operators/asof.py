@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleswh.operators.timeline import HOT_ROWS, SLICE, carry
+from saleswh.operators.timeline import HOT_ROWS, SLICE_UNIT, carry, hot_keys, slice_hot
 
 
 def as_of_join(
@@ -22,8 +22,9 @@ def as_of_join(
     attrs: Mapping[str, str],
     method: str = "join",
     how: str = "inner",
+    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = SLICE,
+    slice_unit: str = SLICE_UNIT,
 ) -> DataFrame:
     """Add dimension attributes {new name: dim column} valid at ``ts``.
 
@@ -32,7 +33,8 @@ def as_of_join(
     otherwise sort-merges and splits skewed keys.
     method "sweep": facts and versions in one ordered pass per key. Linear however many
     versions a key has, hot keys cut into time slices. Needs the versions of a key not
-    to overlap.
+    to overlap. Hot keys are those with more than ``hot_rows`` facts and versions, or the
+    key column of ``hot`` when the caller has them already.
     how: "inner" drops facts without a valid version, "left" keeps them with nulls.
     """
     if how not in ("inner", "left"):
@@ -40,7 +42,7 @@ def as_of_join(
     if method == "join":
         return _by_join(fact, dim, key, ts, attrs, how)
     if method == "sweep":
-        return _by_sweep(fact, dim, key, ts, attrs, how, hot_rows, slice_unit)
+        return _by_sweep(fact, dim, key, ts, attrs, how, hot, hot_rows, slice_unit)
     raise ValueError("method must be 'join' or 'sweep'")
 
 
@@ -59,7 +61,9 @@ def _by_join(fact, dim, key, ts, attrs, how):
     return fact.join(versions, valid, how).drop("_key", "_from", "_to")
 
 
-def _by_sweep(fact, dim, key, ts, attrs, how, hot_rows, slice_unit):
+def _by_sweep(fact, dim, key, ts, attrs, how, hot, hot_rows, slice_unit):
+    if hot is None:
+        hot = hot_keys(fact.select(key).union(dim.select(key)), key, hot_rows)
     facts = fact.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
         F.col(key).alias("_key"),
         F.col(ts).alias("_ts"),
@@ -77,15 +81,10 @@ def _by_sweep(fact, dim, key, ts, attrs, how, hot_rows, slice_unit):
         F.struct("valid_to", *[F.col(src).alias(new) for new, src in attrs.items()]).alias("_version"),
     )
     line = facts.unionByName(versions, allowMissingColumns=True)
-    held = carry(
-        line,
-        ["_key"],
-        ["_ts", "_kind"],
-        {"_held": "_version"},
-        inclusive=True,
-        hot_rows=hot_rows,
-        slice_unit=slice_unit,
-    ).filter(F.col("_fact").isNotNull())
+    line = slice_hot(line, "_key", "_ts", hot.withColumnRenamed(key, "_key"), slice_unit)
+    held = carry(line, "_key", ["_ts", "_kind"], {"_held": "_version"}, inclusive=True).filter(
+        F.col("_fact").isNotNull()
+    )
     valid = F.col("_held").isNotNull() & (
         F.col("_held.valid_to").isNull() | (F.col("_ts") < F.col("_held.valid_to"))
     )
@@ -102,18 +101,23 @@ def _by_sweep(fact, dim, key, ts, attrs, how, hot_rows, slice_unit):
 
 
 def as_of_orders(
-    orders: DataFrame, customers: DataFrame, products: DataFrame, **options
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    method: str = "join",
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Orders with the customer and product versions valid at order time, nine columns."""
-    with_customer = as_of_join(
-        orders, customers, "customer_id", "order_date",
-        {"customer_name": "name", "customer_city": "city"}, **options,
-    )
-    with_both = as_of_join(
-        with_customer, products, "product_id", "order_date",
-        {"product_name": "name", "product_price": "price"}, **options,
-    )
-    return with_both.select(
+    out = orders
+    for dim, key, attrs in (
+        (customers, "customer_id", {"customer_name": "name", "customer_city": "city"}),
+        (products, "product_id", {"product_name": "name", "product_price": "price"}),
+    ):
+        # hot keys come from the orders themselves, so the second pass need not run the first to find them
+        hot = hot_keys(orders.select(key).union(dim.select(key)), key, hot_rows) if method == "sweep" else None
+        out = as_of_join(out, dim, key, "order_date", attrs, method, how, hot)
+    return out.select(
         "order_id", "order_date", "customer_id", "customer_name", "customer_city",
         "product_id", "product_name", "product_price", "amount",
     )

@@ -15,6 +15,11 @@ _PLACE_BITS = 33
 _PLACE_MASK = (1 << _PLACE_BITS) - 1
 
 
+def _part() -> Column:
+    """The sort partition a staged row came from."""
+    return F.shiftright("_slot", _PLACE_BITS)
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence[str | Column],
@@ -26,38 +31,34 @@ def number_rows(
     A row's number is its place in its sort partition plus the sizes of the
     partitions before.
     """
-    staged, offsets = _sorted_once(df, order, F.count("*"))
+    staged, before = _sorted_once(df, order, F.count("*"))
     first = start if isinstance(start, Column) else F.lit(start)
     place = F.col("_slot").bitwiseAND(F.lit(_PLACE_MASK))
-    return staged.join(F.broadcast(offsets), "_part").select(
-        *df.columns, (F.col("_before") + place + first).cast("bigint").alias(name)
-    )
+    return staged.select(*df.columns, (before + place + first).cast("bigint").alias(name))
 
 
 def running_total(df: DataFrame, order: Sequence[str | Column], value: str, name: str) -> DataFrame:
-    """Add the sum of ``value`` over all rows up to and with this one, in the given order."""
-    staged, offsets = _sorted_once(df, order, F.sum(value))
-    within = Window.partitionBy("_part").orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        staged.withColumn("_within", F.sum(value).over(within))
-        .join(F.broadcast(offsets), "_part")
-        .select(*df.columns, (F.col("_before") + F.col("_within")).alias(name))
-    )
+    """Add the sum of a whole-number column over all rows up to and with this one, in the given order."""
+    staged, before = _sorted_once(df, order, F.sum(value))
+    within = Window.partitionBy(_part()).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+    return staged.select(*df.columns, (before + F.sum(value).over(within)).cast("bigint").alias(name))
 
 
-def _sorted_once(df: DataFrame, order, measure: Column) -> tuple[DataFrame, DataFrame]:
-    """Range-sort and write the rows once; add the measure of all partitions before each.
+def _sorted_once(df: DataFrame, order, measure: Column) -> tuple[DataFrame, Column]:
+    """Range-sort and write the rows once; also the measure of all partitions before a row's own.
 
-    The second frame has one row per sort partition, so it stays small whatever the
-    data size. It is what gets broadcast, and its window runs over those rows only.
+    Only one number per sort partition comes to the driver, however large the data;
+    it goes back as a constant array, so using the numbered rows needs no join.
     """
     ordered = df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id())
-    staged = stage(ordered, "numbered").withColumn("_part", F.shiftright("_slot", _PLACE_BITS))
-    sizes = staged.groupBy("_part").agg(measure.alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return staged, sizes.select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
-    )
+    staged = stage(ordered, "numbered")
+    sizes = {r["part"]: r["size"] for r in staged.groupBy(_part().alias("part")).agg(measure.alias("size")).collect()}
+    before, total = [], 0
+    for part in range(max(sizes, default=0) + 1):
+        before.append(str(total))
+        total += sizes.get(part, 0)
+    starts = F.split(F.lit(",".join(before)), ",").cast("array<bigint>")
+    return staged, F.get(starts, _part().cast("int"))
 
 
 def next_key(table: DataFrame, name: str) -> Column:

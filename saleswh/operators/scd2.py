@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswh.operators.keys import assign_key, next_key, number_rows
-from saleswh.operators.timeline import HOT_ROWS, SLICE, carry, hot_keys
+from saleswh.operators.timeline import HOT_ROWS, SLICE_UNIT, carry, hot_keys, slice_hot
 
 META = ("id", "valid_from", "valid_to", "is_current")
 
@@ -94,7 +94,7 @@ def scd2_apply(
     ts: str = "changed_at",
     tiebreak: str | None = None,
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = SLICE,
+    slice_unit: str = SLICE_UNIT,
 ) -> DataFrame:
     """Apply a change batch, any number of changes per key, and return the new dimension.
 
@@ -125,21 +125,22 @@ def scd2_apply(
             for a in given
         ]
     )
-    rows = open_rows.select("id", key, F.col("valid_from").alias("_ts"), *attrs).unionByName(
-        batch, allowMissingColumns=True
-    ).withColumn("_seen", F.lit(True))
+    rows = (
+        open_rows.select("id", key, F.col("valid_from").alias("_ts"), *attrs)
+        .unionByName(batch, allowMissingColumns=True)
+        .withColumn("_seen", F.lit(True))
+    )
+    rows = slice_hot(rows, key, "_ts", hot_keys(changes, key, hot_rows), slice_unit)
 
-    hot = hot_keys(batch, [key], hot_rows)
-    split = {"hot": hot, "slice_unit": slice_unit}
     before = {f"_prev_{a}": a for a in attrs}
-    states = carry(rows, [key], ["_ts"], {**before, "_known": "_seen"}, **split)
+    states = carry(rows, key, ["_ts"], {**before, "_known": "_seen"})
     same = F.lit(True)
     for a in tracked:
         same = same & F.coalesce(F.col(a), F.col(f"_prev_{a}")).eqNullSafe(F.col(f"_prev_{a}"))
     kept = states.filter(F.col("id").isNotNull() | F.col("_known").isNull() | ~same).select(
-        "id", key, "_ts", *[F.coalesce(a, f"_prev_{a}").alias(a) for a in attrs]
+        "id", key, "_ts", "_slice", *[F.coalesce(a, f"_prev_{a}").alias(a) for a in attrs]
     )
-    closed_at = carry(kept, [key], ["_ts"], {"_next": "_ts"}, backward=True, **split)
+    closed_at = carry(kept, key, ["_ts"], {"_next": "_ts"}, backward=True)
 
     versions = closed_at.select(
         "id",
@@ -165,7 +166,7 @@ def history_from_log(
     tracked: Sequence[str],
     tiebreak: str | None = None,
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = SLICE,
+    slice_unit: str = SLICE_UNIT,
 ) -> DataFrame:
     """Version history out of an event log: a version starts where a tracked column changes.
 
@@ -174,12 +175,11 @@ def history_from_log(
     entries = log.groupBy(key, F.col(ts).alias("valid_from")).agg(
         *[F.max_by(F.struct(*tracked), F.col(tiebreak) if tiebreak else F.struct(*tracked)).alias("_state")]
     )
-    hot = hot_keys(log, [key], hot_rows)
-    split = {"hot": hot, "slice_unit": slice_unit}
-    seen = carry(entries, [key], ["valid_from"], {"_prev": "_state"}, **split)
+    entries = slice_hot(entries, key, "valid_from", hot_keys(log, key, hot_rows), slice_unit)
+    seen = carry(entries, key, ["valid_from"], {"_prev": "_state"})
     # the state is a struct and never null, so a null _prev marks the first entry
     starts = seen.filter(~F.col("_state").eqNullSafe(F.col("_prev"))).drop("_prev")
-    ended = carry(starts, [key], ["valid_from"], {"valid_to": "valid_from"}, backward=True, **split)
+    ended = carry(starts, key, ["valid_from"], {"valid_to": "valid_from"}, backward=True)
     return ended.select(
         key, "_state.*", "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current")
     )

@@ -1,8 +1,9 @@
 """Per-key timelines that stay balanced when one key holds a large part of all rows.
 
 A window over one key runs in one task. Keys with more than ``hot_rows`` rows are
-therefore cut into time slices: each slice is a group of its own, and a small
-per-slice summary hands the last known value from slice to slice.
+therefore cut into time slices (column ``_slice``, null for all other keys): each
+slice is a group of its own, and a small per-slice summary hands the last known
+value on from slice to slice. All rows take the same single shuffle.
 """
 
 from __future__ import annotations
@@ -13,78 +14,72 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
-SLICE = "hour"
+SLICE_UNIT = "hour"
 
 
-def hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most rows / hot_rows keys, so small enough to broadcast."""
-    return df.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*key)
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows. Reads the key column only."""
+    return df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(key)
+
+
+def slice_hot(df: DataFrame, key: str, ts: str, hot: DataFrame, unit: str = SLICE_UNIT) -> DataFrame:
+    """Add ``_slice``: the time unit a row falls in if its key is hot, else null.
+
+    At most rows / hot_rows keys are hot, so their list is small enough to broadcast.
+    """
+    marked = df.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
+    return marked.select(*df.columns, F.when(F.col("_hot"), F.date_trunc(unit, F.col(ts))).alias("_slice"))
 
 
 def carry(
-    df: DataFrame,
-    key: Sequence[str],
+    sliced: DataFrame,
+    key: str,
     order: Sequence[str],
     values: Mapping[str, str],
     *,
     inclusive: bool = False,
     backward: bool = False,
-    hot: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    slice_unit: str = SLICE,
 ) -> DataFrame:
     """Add the nearest earlier non-null value of columns, per key in the given order.
 
+    sliced: rows with ``_slice`` made from the first order column (see slice_hot).
     values: {new column: source column}. inclusive: the row's own value counts.
-    backward: the nearest later value instead. The first order column is the time;
-    rows of equal order must not differ in which values they set.
+    backward: the nearest later value instead. Rows of one key that are equal in
+    ``order`` must not set the same column to different values.
     """
-    key, order = list(key), list(order)
-    hot = hot_keys(df, key, hot_rows) if hot is None else hot
-    cold_part = df.join(F.broadcast(hot), key, "left_anti")
-    hot_part = df.join(F.broadcast(hot), key, "left_semi").withColumn(
-        "_slice", F.date_trunc(slice_unit, F.col(order[0]))
+    group = [key, "_slice"]
+    within = sliced.select(
+        "*", *_nearest(values, {c: c for c in values}, group, order, inclusive, backward)
     )
 
-    cold = _fill(cold_part, key, order, values, inclusive, backward)
-    within = _fill(hot_part, [*key, "_slice"], order, values, inclusive, backward)
-
-    nearest = F.min_by if backward else F.max_by
-    position = F.struct(*order)
-    ends = hot_part.groupBy(*key, "_slice").agg(
-        *[
-            nearest(F.col(src), F.when(F.col(src).isNotNull(), position)).alias(f"_end_{new}")
-            for new, src in values.items()
-        ]
+    # what each slice of a hot key knows by its end, and from it what the next one starts with
+    pick = F.min_by if backward else F.max_by
+    known = {new: F.when(F.col(src).isNotNull(), F.struct(*order)) for new, src in values.items()}
+    ends = (
+        sliced.filter(F.col("_slice").isNotNull())
+        .groupBy(*group)
+        .agg(*[pick(src, known[new]).alias(f"_end_{new}") for new, src in values.items()])
     )
+    at_end = {new: f"_end_{new}" for new in values}
     handed = ends.select(
-        *key,
-        "_slice",
-        *[
-            F.last(f"_end_{new}", ignorenulls=True)
-            .over(_window(key, ["_slice"], False, backward))
-            .alias(f"_from_{new}")
-            for new in values
-        ],
+        *group, *_nearest(at_end, {c: f"_from_{c}" for c in values}, [key], ["_slice"], False, backward)
     )
-    sliced = within.join(handed, [*key, "_slice"], "left").select(
-        *df.columns,
-        *[F.coalesce(F.col(new), F.col(f"_from_{new}")).alias(new) for new in values],
+    return within.join(handed, group, "left").select(
+        *sliced.columns, *[F.coalesce(new, f"_from_{new}").alias(new) for new in values]
     )
-    return cold.unionByName(sliced)
 
 
-def _window(by: Sequence[str], order: Sequence[str], inclusive: bool, backward: bool):
-    keys: list[Column] = [F.col(c).desc() if backward else F.col(c).asc() for c in order]
-    return (
+def _nearest(
+    sources: Mapping[str, str],
+    names: Mapping[str, str],
+    by: Sequence[str],
+    order: Sequence[str],
+    inclusive: bool,
+    backward: bool,
+) -> list[Column]:
+    w = (
         Window.partitionBy(*by)
-        .orderBy(*keys)
+        .orderBy(*[F.col(c).desc() if backward else F.col(c).asc() for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     )
-
-
-def _fill(df, by, order, values, inclusive, backward) -> DataFrame:
-    w = _window(by, order, inclusive, backward)
-    return df.select(
-        "*", *[F.last(src, ignorenulls=True).over(w).alias(new) for new, src in values.items()]
-    )
+    return [F.last(src, ignorenulls=True).over(w).alias(names[new]) for new, src in sources.items()]

@@ -13,6 +13,7 @@ from saleswh.functions import day, day_name, in_order, month_name
 from saleswh.operators.keys import assign_key
 from saleswh.operators.relational import conform, distinct_dim
 from saleswh.schemas import CUSTOMER_COLUMNS, DATE_COLUMNS, FACT_COLUMNS, PRODUCT_COLUMNS
+from saleswh.storage import stage
 
 FLAT_COLUMNS = {
     "fact": ("order_number", "order_line_number", "quantity_ordered", "price_each", "sales", "deal_size"),
@@ -95,10 +96,13 @@ def build_fact(flat: DataFrame, product: DataFrame, customer: DataFrame, date: D
 def run_star_etl(flat: DataFrame, out: str) -> Star:
     """Build the star from the flat frame and write it, dimensions before the fact.
 
-    The fact is keyed from the written dimensions, so keys agree also after a retry
-    and Spark knows the dimensions' true sizes when it plans the joins.
+    The flat frame is read four times, so it is first written once in columnar form: a
+    text file is parsed once, and each dimension reads its own columns only. The fact is
+    keyed from the written dimensions, so keys agree also after a retry and Spark knows
+    the dimensions' true sizes when it plans the joins.
     """
     spark = flat.sparkSession
+    flat = stage(flat, "sales-file")
     for name, build in (
         ("dim_product", build_dim_product),
         ("dim_customer", build_dim_customer),

@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from saleswh.functions import day_name, month_id, month_name, qtr_id, to_money, year_id
+from saleswh.operators.scd2 import scd2_init
 from saleswh.plans.star import FLAT_COLUMNS, Star
 from saleswh.schemas import SCHEMAS
 
@@ -16,8 +18,15 @@ HISTORY_START = "1995-01-01"
 MOVE_DAY = "1998-01-01"
 
 
+# schemas of tables read so far, so that only the first read of a table looks into its files
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _deal_size(sales):
@@ -48,19 +57,23 @@ def _products(spark, sf_dir) -> DataFrame:
     )
 
 
-def _customers(spark, sf_dir) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    customer = table(spark, sf_dir, "customer")
-    return customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("customer_key"),
-        F.col("c_name").alias("customer_name"),
-        F.lit(None).cast("string").alias("city"),
-        F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("state"),
-        F.col("n_name").alias("country"),
-        F.col("r_name").alias("territory"),
-    )
+def _customers(spark, sf_dir, columns: Sequence[str] = FLAT_COLUMNS["customer"]) -> DataFrame:
+    """Customers with the wanted columns; places are joined only when one of theirs is wanted."""
+    out = table(spark, sf_dir, "customer")
+    exprs = {
+        "customer_name": F.col("c_name"),
+        "city": F.lit(None).cast("string"),
+        "state": F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")),
+        "country": F.col("n_name"),
+        "territory": F.col("r_name"),
+    }
+    if "country" in columns or "territory" in columns:
+        places = table(spark, sf_dir, "nation")
+        if "territory" in columns:
+            region = table(spark, sf_dir, "region")
+            places = places.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        out = out.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    return out.select(F.col("c_custkey").alias("customer_key"), *[exprs[c].alias(c) for c in columns])
 
 
 def _calendar(d) -> dict:
@@ -108,7 +121,7 @@ def sales_flat(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None =
         heads = table(spark, sf_dir, "orders")
         days = _calendar(F.col("o_orderdate"))
         if people:
-            customers = _customers(spark, sf_dir).select("customer_key", *people)
+            customers = _customers(spark, sf_dir, people)
             heads = heads.join(customers, F.col("o_custkey") == F.col("customer_key"))
         heads = heads.select(
             F.col("o_orderkey").alias("order_number"), *[days[c].alias(c) for c in dates], *people
@@ -200,8 +213,6 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def priority_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with a priority attribute, one open version each, ids in key order."""
-    from saleswh.operators.scd2 import scd2_init
-
     rows = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("name"),
