@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DateType, StructType, TimestampType
 
 from saleswh.functions import SALES_FILE_DATE, to_mb
 from saleswh.schemas import SCHEMAS
@@ -64,29 +64,25 @@ def read_sales_csv(
 def read_copy_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     r"""Tab-delimited dump lines without a header; ``\N`` is null, backslash escapes.
 
-    The end marker ``\.`` of a dump block is dropped.
+    The end marker ``\.`` of a dump block is dropped; a line with another number of
+    fields than the schema is an error.
     """
-    text = StructType([StructField(f.name, StringType()) for f in schema])
-    rows = (
-        spark.read.schema(text)
-        .option("sep", "\t")
-        .option("quote", "")
-        .option("escape", "")
-        .option("emptyValue", "")
-        .option("nullValue", "\\N")
-        .csv(path)
+    lines = spark.read.text(path).filter(F.col("value") != "\\.")
+    fields = F.split("value", "\t", -1)
+    wrong = F.raise_error(F.concat(F.lit("wrong number of fields: "), F.col("value")))
+    checked = lines.select(F.when(F.size(fields) == len(schema), fields).otherwise(wrong).alias("f"))
+    return checked.select(
+        *[_plain_text(F.col("f")[i]).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)]
     )
-    first = F.col(schema[0].name)
-    rows = rows.filter(first.isNull() | (first != "\\."))
 
-    def plain(name):
-        """Undo the escapes of the dump format, the backslash itself last."""
-        c = F.col(name)
-        for mark, char in (("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r")):
-            c = F.regexp_replace(c, r"(?<!\\)((?:\\\\)*)\\" + mark[1], "$1" + char)
-        return F.replace(c, F.lit("\\\\"), F.lit("\\"))
 
-    return rows.select(*[plain(f.name).cast(f.dataType).alias(f.name) for f in schema])
+def _plain_text(c):
+    r"""Undo the dump's escapes, the doubled backslash last; ``\N`` becomes null."""
+    out = c
+    for letter, char in (("t", "\t"), ("n", "\n"), ("r", "\r")):
+        # an escape starts at an odd backslash: any backslashes before it come in pairs
+        out = F.regexp_replace(out, r"(?<!\\)((?:\\\\)*)\\" + letter, "$1" + char)
+    return F.when(c != "\\N", F.replace(out, F.lit("\\\\"), F.lit("\\")))
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
@@ -112,7 +108,7 @@ def table_options(
     With a partition column the read is split into that many range queries, so
     no single task pulls the whole table.
     """
-    text = name_or_query.strip().rstrip(";")
+    text = name_or_query.strip().rstrip("; \n")
     is_query = text.split(None, 1)[0].lower() in ("select", "with")
     options = {"url": url, "dbtable": f"({text}) AS src" if is_query else text, **connection}
     if partition_column:
