@@ -79,11 +79,13 @@ def sales_flat(spark, d):
 
 
 @query(FLAT_SQL + "SELECT order_date, order_number, order_line_number, product_code, country, sales FROM flat "
-       "ORDER BY order_date")
+       "ORDER BY order_date, order_number, order_line_number")
 def sales_listing(spark, d):
     """The wide frame as a listing by order date."""
     cols = ["order_date", "order_number", "order_line_number", "product_code", "country", "sales"]
-    return tables.sales_flat(spark, d, cols).orderBy(*in_order("order_date"))
+    return tables.sales_flat(spark, d, cols).orderBy(
+        *in_order("order_date", "order_number", "order_line_number")
+    )
 
 
 # --- building the star from the flat sales file

@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 TIMESTAMP_WITH_HOUR_OFFSET = "yyyy-MM-dd HH:mmX"  # 2025-10-07 11:00-06
 SALES_FILE_DATE = "M/d/yyyy H:mm"  # 2/24/2003 0:00
 
+# English month and weekday names.
+MONTHS = (
+    "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+)
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+
 MONEY = "decimal(12,2)"
 MONEY_SUM = "decimal(22,2)"
 
@@ -17,9 +24,13 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _names(names) -> Column:
+    return F.array(*[F.lit(n) for n in names])
+
+
 def month_name(d) -> Column:
-    """English month name, e.g. February."""
-    return F.date_format(_c(d), "MMMM")
+    """English month name, e.g. February. A lookup: formatting each date costs far more."""
+    return F.element_at(_names(MONTHS), F.month(_c(d)))
 
 
 def day(d) -> Column:
@@ -28,7 +39,12 @@ def day(d) -> Column:
 
 def day_name(d) -> Column:
     """English weekday name, e.g. Monday."""
-    return F.date_format(_c(d), "EEEE")
+    return F.element_at(_names(WEEKDAYS), iso_weekday(d))
+
+
+def weekday_place(name) -> Column:
+    """Monday 1 .. Sunday 7, from the weekday name."""
+    return F.array_position(_names(WEEKDAYS), _c(name))
 
 
 def iso_weekday(d) -> Column:

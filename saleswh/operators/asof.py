@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleswh.operators.timeline import HOT_ROWS, SLICE_UNIT, carry, hot_keys, slice_hot
+from saleswh.operators.timeline import HOT_ROWS, SLICE_UNITS, carry, hot_keys, slice_hot
 
 
 def as_of_join(
@@ -24,17 +24,18 @@ def as_of_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = SLICE_UNIT,
+    slice_units: tuple[str, str] = SLICE_UNITS,
 ) -> DataFrame:
     """Add dimension attributes {new name: dim column} valid at ``ts``.
 
     method "join": equality on the key with the interval as a further condition. Right
     for short histories: Spark broadcasts a dimension below its size limit, and
     otherwise sort-merges and splits skewed keys.
-    method "sweep": facts and versions in one ordered pass per key. Linear however many
-    versions a key has, hot keys cut into time slices. Needs the versions of a key not
-    to overlap. Hot keys are those with more than ``hot_rows`` facts and versions, or the
-    key column of ``hot`` when the caller has them already.
+    method "sweep": the distinct fact times and the versions in one ordered pass per key,
+    the result joined back to the facts by key and time. Linear however many versions a
+    key has, hot keys cut into time slices, and facts that share a time do not pile up.
+    Needs the versions of a key not to overlap. Hot keys are those with more than
+    ``hot_rows`` facts and versions, or the key column of ``hot`` when the caller has them.
     how: "inner" drops facts without a valid version, "left" keeps them with nulls.
     """
     if how not in ("inner", "left"):
@@ -42,7 +43,7 @@ def as_of_join(
     if method == "join":
         return _by_join(fact, dim, key, ts, attrs, how)
     if method == "sweep":
-        return _by_sweep(fact, dim, key, ts, attrs, how, hot, hot_rows, slice_unit)
+        return _by_sweep(fact, dim, key, ts, attrs, how, hot, hot_rows, slice_units)
     raise ValueError("method must be 'join' or 'sweep'")
 
 
@@ -61,43 +62,29 @@ def _by_join(fact, dim, key, ts, attrs, how):
     return fact.join(versions, valid, how).drop("_key", "_from", "_to")
 
 
-def _by_sweep(fact, dim, key, ts, attrs, how, hot, hot_rows, slice_unit):
+def _by_sweep(fact, dim, key, ts, attrs, how, hot, hot_rows, units):
     if hot is None:
         hot = hot_keys(fact.select(key).union(dim.select(key)), key, hot_rows)
-    facts = fact.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
-        F.col(key).alias("_key"),
-        F.col(ts).alias("_ts"),
-        F.lit(1).alias("_kind"),  # after a version that starts at the same instant
-        F.struct(*fact.columns).alias("_fact"),
-    )
+    known = F.col("_key").isNotNull() & F.col("_ts").isNotNull()
+    times = fact.select(F.col(key).alias("_key"), F.col(ts).alias("_ts")).filter(known).distinct()
     # an empty interval is never valid; leaving it out keeps starts distinct per key
-    versions = dim.filter(
-        F.col(key).isNotNull()
-        & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
-    ).select(
+    versions = dim.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))).select(
         F.col(key).alias("_key"),
         F.col("valid_from").alias("_ts"),
-        F.lit(0).alias("_kind"),
         F.struct("valid_to", *[F.col(src).alias(new) for new, src in attrs.items()]).alias("_version"),
     )
-    line = facts.unionByName(versions, allowMissingColumns=True)
-    line = slice_hot(line, "_key", "_ts", hot.withColumnRenamed(key, "_key"), slice_unit)
-    held = carry(line, "_key", ["_ts", "_kind"], {"_held": "_version"}, inclusive=True).filter(
-        F.col("_fact").isNotNull()
-    )
-    valid = F.col("_held").isNotNull() & (
-        F.col("_held.valid_to").isNull() | (F.col("_ts") < F.col("_held.valid_to"))
-    )
-    if how == "inner":
-        held = held.filter(valid)
-    out = held.select(
-        *[F.col("_fact")[c].alias(c) for c in fact.columns],
-        *[F.when(valid, F.col("_held")[new]).alias(new) for new in attrs],
+    line = (
+        times.withColumn("_kind", F.lit(1))  # after a version that starts at the same time
+        .unionByName(versions.filter(known).withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     )
-    if how == "left":
-        loose = fact.filter(F.col(key).isNull() | F.col(ts).isNull())
-        out = out.unionByName(loose, allowMissingColumns=True)
-    return out
+    line = slice_hot(line, "_key", "_ts", hot.withColumnRenamed(key, "_key"), hot_rows, units)
+    held = carry(line, "_key", ["_ts", "_kind"], {"_held": "_version"}, inclusive=True)
+    end = F.col("_held.valid_to")
+    valid = held.filter(
+        (F.col("_kind") == 1) & F.col("_held").isNotNull() & (end.isNull() | (F.col("_ts") < end))
+    ).select("_key", "_ts", *[F.col("_held")[new].alias(new) for new in attrs])
+    same = (F.col(key) == F.col("_key")) & (F.col(ts) == F.col("_ts"))
+    return fact.join(valid, same, how).drop("_key", "_ts")
 
 
 def as_of_orders(

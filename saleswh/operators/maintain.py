@@ -60,8 +60,8 @@ def replicate(df: DataFrame, n: int, block: int = 1000) -> DataFrame:
     """Every row exactly n times.
 
     Copies are made inside the tasks, so nothing is shuffled. Beyond ``block``
-    copies per row the rows are first spread as numbered blocks, so a small file
-    read by one task is still expanded by many.
+    copies per row the rows are first spread evenly as numbered blocks, so a small
+    file read by one task is still expanded by many.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -71,10 +71,8 @@ def replicate(df: DataFrame, n: int, block: int = 1000) -> DataFrame:
         copies = F.explode(F.sequence(F.lit(1), F.lit(n)))
         return df.withColumn("_copy", copies).drop("_copy")
     blocks = -(-n // block)
-    spread = (
-        df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .repartition(*df.columns, "_block")
-    )
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(tasks)
     size = F.least(F.lit(block), F.lit(n) - F.col("_block") * block)
     return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1), size))).drop("_block", "_copy")
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswh.operators.keys import assign_key, next_key, number_rows
-from saleswh.operators.timeline import HOT_ROWS, SLICE_UNIT, carry, hot_keys, slice_hot
+from saleswh.operators.timeline import HOT_ROWS, SLICE_UNITS, carry, hot_keys, slice_hot
 
 META = ("id", "valid_from", "valid_to", "is_current")
 
@@ -94,7 +94,7 @@ def scd2_apply(
     ts: str = "changed_at",
     tiebreak: str | None = None,
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = SLICE_UNIT,
+    slice_units: tuple[str, str] = SLICE_UNITS,
 ) -> DataFrame:
     """Apply a change batch, any number of changes per key, and return the new dimension.
 
@@ -130,7 +130,7 @@ def scd2_apply(
         .unionByName(batch, allowMissingColumns=True)
         .withColumn("_seen", F.lit(True))
     )
-    rows = slice_hot(rows, key, "_ts", hot_keys(changes, key, hot_rows), slice_unit)
+    rows = slice_hot(rows, key, "_ts", hot_keys(changes, key, hot_rows), hot_rows, slice_units)
 
     before = {f"_prev_{a}": a for a in attrs}
     states = carry(rows, key, ["_ts"], {**before, "_known": "_seen"})
@@ -166,7 +166,7 @@ def history_from_log(
     tracked: Sequence[str],
     tiebreak: str | None = None,
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = SLICE_UNIT,
+    slice_units: tuple[str, str] = SLICE_UNITS,
 ) -> DataFrame:
     """Version history out of an event log: a version starts where a tracked column changes.
 
@@ -175,7 +175,7 @@ def history_from_log(
     entries = log.groupBy(key, F.col(ts).alias("valid_from")).agg(
         *[F.max_by(F.struct(*tracked), F.col(tiebreak) if tiebreak else F.struct(*tracked)).alias("_state")]
     )
-    entries = slice_hot(entries, key, "valid_from", hot_keys(log, key, hot_rows), slice_unit)
+    entries = slice_hot(entries, key, "valid_from", hot_keys(log, key, hot_rows), hot_rows, slice_units)
     seen = carry(entries, key, ["valid_from"], {"_prev": "_state"})
     # the state is a struct and never null, so a null _prev marks the first entry
     starts = seen.filter(~F.col("_state").eqNullSafe(F.col("_prev"))).drop("_prev")

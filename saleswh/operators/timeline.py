@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
-SLICE_UNIT = "hour"
+# slices of a hot key, and of an hour that is still too full
+SLICE_UNITS = ("hour", "second")
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -22,13 +23,27 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(key)
 
 
-def slice_hot(df: DataFrame, key: str, ts: str, hot: DataFrame, unit: str = SLICE_UNIT) -> DataFrame:
-    """Add ``_slice``: the time unit a row falls in if its key is hot, else null.
+def slice_hot(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    hot: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    units: tuple[str, str] = SLICE_UNITS,
+) -> DataFrame:
+    """Add ``_slice``: the start of the time slice a row falls in if its key is hot, else null.
 
-    At most rows / hot_rows keys are hot, so their list is small enough to broadcast.
+    Slices are of the first unit; one with more than ``hot_rows`` rows is cut by the
+    second. Both lists broadcast here hold at most rows / hot_rows entries.
     """
-    marked = df.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
-    return marked.select(*df.columns, F.when(F.col("_hot"), F.date_trunc(unit, F.col(ts))).alias("_slice"))
+    coarse, fine = (F.date_trunc(unit, F.col(ts)) for unit in units)
+    marks = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+    marked = df.join(marks, key, "left").withColumn("_coarse", F.when(F.col("_hot"), coarse))
+    counted = marked.filter(F.col("_coarse").isNotNull()).groupBy(key, "_coarse").agg(F.count("*").alias("_n"))
+    full = counted.filter(F.col("_n") > hot_rows).select(key, "_coarse", F.lit(True).alias("_full"))
+    return marked.join(F.broadcast(full), [key, "_coarse"], "left").select(
+        *df.columns, F.when(F.col("_full"), fine).otherwise(F.col("_coarse")).alias("_slice")
+    )
 
 
 def carry(

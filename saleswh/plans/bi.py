@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from saleswh.functions import (
     MONEY_SUM,
     in_order,
-    iso_weekday,
     largest_first,
     money_sum,
     pct,
@@ -22,6 +21,7 @@ from saleswh.functions import (
     quarter_label,
     ratio,
     share_count,
+    weekday_place,
 )
 from saleswh.operators.keys import number_rows, running_total
 from saleswh.operators.relational import previous_period, top_k
@@ -112,10 +112,7 @@ def quarterly_revenue(flat: DataFrame) -> DataFrame:
 
 def revenue_by_weekday(flat: DataFrame) -> DataFrame:
     """Revenue per weekday name, Monday first."""
-    # Weekday order.
-    week = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
-    place = F.array_position(F.array(*[F.lit(d) for d in week]), F.col("day_of_week"))
-    return _sales_per(flat, "day_of_week").orderBy(place)
+    return _sales_per(flat, "day_of_week").orderBy(weekday_place("day_of_week"))
 
 
 def revenue_by_deal_size(flat: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def test_gap_between_versions(spark):
     )
     fact = spark.createDataFrame([(1, at(m)) for m in (0, 4, 5, 7, 10, 11)], "k int, t timestamp")
     want = [(1, at(0), "a"), (1, at(4), "a"), (1, at(10), "b"), (1, at(11), "b")]
-    for options in ({}, {"method": "sweep"}, {"method": "sweep", "hot_rows": 0, "slice_unit": "minute"}):
+    for options in ({}, {"method": "sweep"}, {"method": "sweep", "hot_rows": 0, "slice_units": ("minute", "second")}):
         assert rows(as_of_join(fact, dim, "k", "t", {"v": "v"}, **options)) == sorted(want, key=repr)
 
 

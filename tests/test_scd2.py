@@ -106,7 +106,7 @@ def test_applying_twice_changes_nothing(timeline, mixed):
 def test_hot_keys_are_sliced_to_the_same_result(timeline, mixed):
     plain = scd2.scd2_apply(timeline.customers, mixed, "customer_id")
     for unit in ("minute", "hour"):
-        hot = scd2.scd2_apply(timeline.customers, mixed, "customer_id", hot_rows=0, slice_unit=unit)
+        hot = scd2.scd2_apply(timeline.customers, mixed, "customer_id", hot_rows=0, slice_units=(unit, "second"))
         assert rows(hot) == rows(plain)
 
 
@@ -163,7 +163,7 @@ def test_history_from_log(spark):
         "k int, m int, v string",
     ).withColumn("ts", F.lit(START) + F.make_dt_interval(mins=F.col("m")))
     want = [(1, "a", 1, 3), (1, "b", 3, 4), (1, None, 4, 6), (1, "b", 6, None), (2, "a", 1, None)]
-    for options in ({}, {"hot_rows": 0, "slice_unit": "minute"}, {"hot_rows": 3}):
+    for options in ({}, {"hot_rows": 0, "slice_units": ("minute", "second")}, {"hot_rows": 3}):
         got = scd2.history_from_log(log, "k", "ts", ["v"], **options)
         minutes = rows(got.select("k", "v", F.minute("valid_from"), F.minute("valid_to")))
         assert minutes == sorted(want, key=repr)
