@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from saleswh.functions import to_double
 from saleswh.operators.scd2 import version_attribute_count
 from saleswh.sources.writers import publish_version, read_latest
-from saleswh.storage import stage
+from saleswh.storage import file_system, stage
 
 DOCUMENT_FIELDS = (
     "order_id", "order_date", "customer_id", "customer_name", "customer_city",
@@ -58,6 +58,24 @@ def publish_orders(view: DataFrame, base: str, key: str = "order_id") -> tuple[s
     return path, source.count()
 
 
+def upsert_partitions(source: DataFrame, base: str, key: str, part: str) -> None:
+    """Upsert into a dataset laid out by ``part``, rewriting only the partitions the batch touches.
+
+    ``part`` is a column of the documents that never changes for a key, such as the order
+    month. Only the list of touched partition values comes to the driver. The merged
+    partitions are written aside first, since the old files are read to make them; running
+    the batch again after a failure gives the same result.
+    """
+    spark = source.sparkSession
+    batch = stage(source, "batch")
+    fs, path = file_system(spark, base)
+    if fs.exists(path):
+        touched = [r[0] for r in batch.select(part).distinct().collect()]
+        target = spark.read.parquet(base).filter(F.col(part).isin(touched))
+        batch = stage(upsert(target, batch, key), "merged")
+    batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(base)
+
+
 def distinct_cities_by_customer(docs: DataFrame) -> DataFrame:
     """Cities seen on each customer's documents, and the name on the first one."""
     by = ["customer_id", "customer_name", "customer_city"]

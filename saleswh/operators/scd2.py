@@ -118,16 +118,17 @@ def scd2_apply(
     untouched = current.join(touched, key, "left_anti")
     open_rows = current.join(touched, key, "left_semi")
 
-    accepted, _ = split_late(dim, changes, key, ts)
-    batch = accepted.groupBy(key, F.col(ts).cast(types["valid_from"]).alias("_ts")).agg(
+    # collapsed by key and time first, so that a key with many changes is spread over tasks
+    batch = changes.groupBy(key, F.col(ts).cast(types["valid_from"]).alias("_ts")).agg(
         *[
             F.max_by(a, F.when(F.col(a).isNotNull(), F.col(tiebreak or a))).cast(types[a]).alias(a)
             for a in given
         ]
     )
+    accepted, _ = split_late(dim, batch, key, "_ts")
     rows = (
         open_rows.select("id", key, F.col("valid_from").alias("_ts"), *attrs)
-        .unionByName(batch, allowMissingColumns=True)
+        .unionByName(accepted, allowMissingColumns=True)
         .withColumn("_seen", F.lit(True))
     )
     rows = slice_hot(rows, key, "_ts", hot_keys(changes, key, hot_rows), hot_rows, slice_units)

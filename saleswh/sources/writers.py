@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from saleswh.operators.maintain import replicate
 from saleswh.storage import file_system
 
 
@@ -17,6 +18,17 @@ def write_once(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def scaled_path(base: str, scale: int) -> str:
+    return f"{base.rstrip('/')}/scaled_data_{scale}.parquet"
+
+
+def prescale(df: DataFrame, base: str, scales: Sequence[int]) -> dict[int, str]:
+    """Write the frame replicated to each scale, leaving scales that exist already as they are."""
+    for scale in scales:
+        write_once(replicate(df, scale), scaled_path(base, scale))
+    return {scale: scaled_path(base, scale) for scale in scales}
+
+
 def append_table(df: DataFrame, name: str, cols: Sequence[str] | None = None, path: str | None = None) -> None:
     """Append the chosen columns to a table, by column name; other table columns become null.
 

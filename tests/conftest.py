@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from saleswh.operators import scd2  # noqa: E402
 from saleswh.schemas import SCHEMAS  # noqa: E402
-from saleswh.storage import build_session, release  # noqa: E402
+from saleswh.storage import build_session, release, stage  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -78,8 +78,8 @@ class Timeline:
         start = F.lit("2025-10-07 17:00:00").cast("timestamp")
         self.first_customers = scd2.scd2_init(customers, "customer_id", start)
         self.first_products = scd2.scd2_init(products, "product_id", start)
-        self.customers = scd2.scd2_apply(self.first_customers, self.city_changes, "customer_id")
-        self.products = scd2.scd2_apply(self.first_products, self.price_changes, "product_id")
+        self.customers = stage(scd2.scd2_apply(self.first_customers, self.city_changes, "customer_id"))
+        self.products = stage(scd2.scd2_apply(self.first_products, self.price_changes, "product_id"))
 
 
 @pytest.fixture(scope="session")

@@ -70,7 +70,7 @@ def test_wrong_options(timeline):
 START = datetime(2024, 1, 1)
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.dictionaries(st.integers(0, 2), st.lists(st.integers(0, 200), min_size=1, max_size=8, unique=True), min_size=1),
     st.lists(st.tuples(st.integers(0, 3), st.integers(0, 220)), min_size=1, max_size=40),

@@ -82,3 +82,15 @@ def test_publish_versions(spark, view):
     # the earlier version is still there for whoever reads it
     assert spark.read.parquet(first).count() == 2
     assert latest.filter(F.col("order_date") == F.lit(datetime(2025, 10, 7, 17, 5))).count() == 1
+
+
+def test_upsert_touches_only_its_partitions(spark, docs, tmp_path):
+    base = str(tmp_path / "by_city")
+    documents.upsert_partitions(docs, base, "order_id", "customer_id")
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "by_city" / "customer_id=C1").glob("*.parquet")}
+    change = docs.filter("customer_id = 'C2'").withColumn("amount", F.lit(None).cast("double"))
+    new = change.withColumn("order_id", F.lit("O9"))
+    documents.upsert_partitions(change.unionByName(new), base, "order_id", "customer_id")
+    got = rows(spark.read.parquet(base).select("order_id", "customer_id", "amount"))
+    assert got == [("O1", "C1", 1000.0), ("O2", "C1", 850.0), ("O3", "C2", None), ("O4", "C1", 900.0), ("O9", "C2", None)]
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "by_city" / "customer_id=C1").glob("*.parquet")} == before

@@ -51,6 +51,14 @@ def test_write_once(spark, tmp_path):
     assert sources.write_once(spark.range(9), path).count() == 3
 
 
+def test_prescale(spark, tmp_path):
+    base = str(tmp_path)
+    paths = sources.prescale(spark.range(3), base, [1, 4])
+    assert {n: sources.read_scaled(spark, p).count() for n, p in paths.items()} == {1: 3, 4: 12}
+    sources.prescale(spark.range(9), base, [4])
+    assert sources.read_scaled(spark, sources.scaled_path(base, 4)).count() == 12
+
+
 def test_tables(spark):
     name = "dim_product_test"
     drop_table(spark, name)
