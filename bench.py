@@ -53,12 +53,12 @@ def timed(action, repeats: int) -> float:
 
 
 def scaled_reports(spark, sf_dir: str, scales: list[int], repeats: int) -> dict[str, float]:
-    """The three reports on the cached flat table at each scale."""
+    """The three reports on the flat table at each scale, spread over the cores and cached."""
     columns = ["country", "product_line", "year_id", "month_id", "month_name", "sales"]
     paths = prescale(sales_flat(spark, sf_dir, columns), new_path(spark, "bench"), scales)
     times = {}
     for scale, path in paths.items():
-        flat = prepare(read_scaled(spark, path))
+        flat = prepare(read_scaled(spark, path), max(8, 2 * spark.sparkContext.defaultParallelism))
         for report in (
             reports.revenue_by_country_flat, reports.top_product_lines_flat, reports.monthly_sales_flat
         ):

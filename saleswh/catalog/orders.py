@@ -11,10 +11,10 @@ from saleswh.catalog.sql import (
     with_,
 )
 from saleswh.operators import asof, documents, scd2
-from saleswh.operators.timeline import hot_keys
+from saleswh.operators.timeline import hot_spots
 from saleswh.plans import tables
 from saleswh.sources import read_latest
-from saleswh.storage import new_path
+from saleswh.storage import new_path, stage
 
 AS_OF = with_(AS_OF_ORDERS)
 SUMMARY_SQL = (
@@ -60,12 +60,16 @@ def event_history(spark, d):
           AND (h.valid_to IS NULL OR e.ts < h.valid_to)"""
 )
 def as_of_events(spark, d):
-    """Each event with the version its user was in; users have many versions, so one sweep."""
+    """Each event with the version its user was in; users have many versions, so one sweep.
+
+    The history is written first, as a dimension is, so the sweep does not make it again.
+    """
     events = tables.table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    spots = hot_spots(events, "user_id", "ts")  # a user has no more versions than events
+    history = scd2.history_from_log(events, "user_id", "ts", ["event_type"], "event_id", spots=spots)
     joined = asof.as_of_join(
-        events, event_history(spark, d), "user_id", "ts",
-        {"held_type": "event_type", "held_since": "valid_from"}, method="sweep",
-        hot=hot_keys(events, "user_id"),  # a user has no more versions than events
+        events, stage(history, "history"), "user_id", "ts",
+        {"held_type": "event_type", "held_since": "valid_from"}, method="sweep", spots=spots,
     )
     return joined.drop("ts")
 

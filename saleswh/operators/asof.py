@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleswh.operators.timeline import HOT_ROWS, SLICE_UNITS, carry, hot_keys, slice_hot
+from saleswh.operators.timeline import HOT_ROWS, SLICE_UNITS, HotSpots, carry, hot_spots, slice_hot
 
 
 def as_of_join(
@@ -22,7 +22,7 @@ def as_of_join(
     attrs: Mapping[str, str],
     method: str = "join",
     how: str = "inner",
-    hot: DataFrame | None = None,
+    spots: HotSpots | None = None,
     hot_rows: int = HOT_ROWS,
     slice_units: tuple[str, str] = SLICE_UNITS,
 ) -> DataFrame:
@@ -35,7 +35,7 @@ def as_of_join(
     the result joined back to the facts by key and time. Linear however many versions a
     key has, hot keys cut into time slices, and facts that share a time do not pile up.
     Needs the versions of a key not to overlap. Hot keys are those with more than
-    ``hot_rows`` facts and versions, or the key column of ``hot`` when the caller has them.
+    ``hot_rows`` facts and versions; ``spots`` hands them in when the caller has them.
     how: "inner" drops facts without a valid version, "left" keeps them with nulls.
     """
     if how not in ("inner", "left"):
@@ -43,7 +43,7 @@ def as_of_join(
     if method == "join":
         return _by_join(fact, dim, key, ts, attrs, how)
     if method == "sweep":
-        return _by_sweep(fact, dim, key, ts, attrs, how, hot, hot_rows, slice_units)
+        return _by_sweep(fact, dim, key, ts, attrs, how, spots, hot_rows, slice_units)
     raise ValueError("method must be 'join' or 'sweep'")
 
 
@@ -62,9 +62,13 @@ def _by_join(fact, dim, key, ts, attrs, how):
     return fact.join(versions, valid, how).drop("_key", "_from", "_to")
 
 
-def _by_sweep(fact, dim, key, ts, attrs, how, hot, hot_rows, units):
-    if hot is None:
-        hot = hot_keys(fact.select(key).union(dim.select(key)), key, hot_rows)
+def _both_times(fact, dim, key, ts):
+    """Key and time of all facts and versions."""
+    return fact.select(key, F.col(ts).alias("_ts")).union(dim.select(key, "valid_from"))
+
+
+def _by_sweep(fact, dim, key, ts, attrs, how, spots, hot_rows, units):
+    spots = spots or hot_spots(_both_times(fact, dim, key, ts), key, "_ts", hot_rows, units)
     known = F.col("_key").isNotNull() & F.col("_ts").isNotNull()
     times = fact.select(F.col(key).alias("_key"), F.col(ts).alias("_ts")).filter(known).distinct()
     # an empty interval is never valid; leaving it out keeps starts distinct per key
@@ -77,7 +81,7 @@ def _by_sweep(fact, dim, key, ts, attrs, how, hot, hot_rows, units):
         times.withColumn("_kind", F.lit(1))  # after a version that starts at the same time
         .unionByName(versions.filter(known).withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     )
-    line = slice_hot(line, "_key", "_ts", hot.withColumnRenamed(key, "_key"), hot_rows, units)
+    line = slice_hot(line, "_key", "_ts", spots)
     held = carry(line, "_key", ["_ts", "_kind"], {"_held": "_version"}, inclusive=True)
     end = F.col("_held.valid_to")
     valid = held.filter(
@@ -101,9 +105,10 @@ def as_of_orders(
         (customers, "customer_id", {"customer_name": "name", "customer_city": "city"}),
         (products, "product_id", {"product_name": "name", "product_price": "price"}),
     ):
-        # hot keys come from the orders themselves, so the second pass need not run the first to find them
-        hot = hot_keys(orders.select(key).union(dim.select(key)), key, hot_rows) if method == "sweep" else None
-        out = as_of_join(out, dim, key, "order_date", attrs, method, how, hot)
+        spots = None
+        if method == "sweep":  # counted on the orders themselves, so the second pass need not run the first
+            spots = hot_spots(_both_times(orders, dim, key, "order_date"), key, "_ts", hot_rows)
+        out = as_of_join(out, dim, key, "order_date", attrs, method, how, spots)
     return out.select(
         "order_id", "order_date", "customer_id", "customer_name", "customer_city",
         "product_id", "product_name", "product_price", "amount",

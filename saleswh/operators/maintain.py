@@ -56,7 +56,7 @@ def apply_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
     )
 
 
-def replicate(df: DataFrame, n: int, block: int = 1000) -> DataFrame:
+def replicate(df: DataFrame, n: int, block: int = 100) -> DataFrame:
     """Every row exactly n times.
 
     Copies are made inside the tasks, so nothing is shuffled. Beyond ``block``

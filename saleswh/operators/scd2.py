@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswh.operators.keys import assign_key, next_key, number_rows
-from saleswh.operators.timeline import HOT_ROWS, SLICE_UNITS, carry, hot_keys, slice_hot
+from saleswh.operators.timeline import HOT_ROWS, SLICE_UNITS, HotSpots, carry, hot_spots, slice_hot
 
 META = ("id", "valid_from", "valid_to", "is_current")
 
@@ -131,7 +131,7 @@ def scd2_apply(
         .unionByName(accepted, allowMissingColumns=True)
         .withColumn("_seen", F.lit(True))
     )
-    rows = slice_hot(rows, key, "_ts", hot_keys(changes, key, hot_rows), hot_rows, slice_units)
+    rows = slice_hot(rows, key, "_ts", hot_spots(changes, key, ts, hot_rows, slice_units))
 
     before = {f"_prev_{a}": a for a in attrs}
     states = carry(rows, key, ["_ts"], {**before, "_known": "_seen"})
@@ -168,15 +168,17 @@ def history_from_log(
     tiebreak: str | None = None,
     hot_rows: int = HOT_ROWS,
     slice_units: tuple[str, str] = SLICE_UNITS,
+    spots: HotSpots | None = None,
 ) -> DataFrame:
     """Version history out of an event log: a version starts where a tracked column changes.
 
     Log entries of one key at one instant count as one, as in scd2_apply.
+    ``spots``: the log's hot spots when the caller has them already.
     """
     entries = log.groupBy(key, F.col(ts).alias("valid_from")).agg(
         *[F.max_by(F.struct(*tracked), F.col(tiebreak) if tiebreak else F.struct(*tracked)).alias("_state")]
     )
-    entries = slice_hot(entries, key, "valid_from", hot_keys(log, key, hot_rows), hot_rows, slice_units)
+    entries = slice_hot(entries, key, "valid_from", spots or hot_spots(log, key, ts, hot_rows, slice_units))
     seen = carry(entries, key, ["valid_from"], {"_prev": "_state"})
     # the state is a struct and never null, so a null _prev marks the first entry
     starts = seen.filter(~F.col("_state").eqNullSafe(F.col("_prev"))).drop("_prev")

@@ -9,6 +9,7 @@ value on from slice to slice. All rows take the same single shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,29 +19,45 @@ HOT_ROWS = 5_000_000
 SLICE_UNITS = ("hour", "second")
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows. Reads the key column only."""
-    return df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(key)
+@dataclass(frozen=True)
+class HotSpots:
+    """Keys with more than ``hot_rows`` rows, and their time slices that are as full."""
 
+    key: str
+    keys: DataFrame
+    slices: DataFrame
+    units: tuple[str, str]
 
-def slice_hot(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    hot: DataFrame,
-    hot_rows: int = HOT_ROWS,
-    units: tuple[str, str] = SLICE_UNITS,
-) -> DataFrame:
+
+def hot_spots(
+    source: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS, units: tuple[str, str] = SLICE_UNITS
+) -> HotSpots:
+    """Count the source's rows per key, and per slice for the hot keys; reads these two columns only.
+
+    Each list holds at most rows / hot_rows entries, so both are small enough to broadcast.
+    ``source`` should be the plain input of a job, not something costly made from it.
+    """
+    many = F.col("_n") > hot_rows
+    keys = source.groupBy(key).agg(F.count("*").alias("_n")).filter(many).select(key)
+    slices = (
+        source.join(F.broadcast(keys), key, "left_semi")
+        .groupBy(key, F.date_trunc(units[0], F.col(ts)).alias("_coarse"))
+        .agg(F.count("*").alias("_n"))
+        .filter(many)
+        .select(key, "_coarse")
+    )
+    return HotSpots(key, keys, slices, units)
+
+
+def slice_hot(df: DataFrame, key: str, ts: str, spots: HotSpots) -> DataFrame:
     """Add ``_slice``: the start of the time slice a row falls in if its key is hot, else null.
 
-    Slices are of the first unit; one with more than ``hot_rows`` rows is cut by the
-    second. Both lists broadcast here hold at most rows / hot_rows entries.
+    Slices are of the first unit; a full one is cut by the second.
     """
-    coarse, fine = (F.date_trunc(unit, F.col(ts)) for unit in units)
-    marks = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-    marked = df.join(marks, key, "left").withColumn("_coarse", F.when(F.col("_hot"), coarse))
-    counted = marked.filter(F.col("_coarse").isNotNull()).groupBy(key, "_coarse").agg(F.count("*").alias("_n"))
-    full = counted.filter(F.col("_n") > hot_rows).select(key, "_coarse", F.lit(True).alias("_full"))
+    coarse, fine = (F.date_trunc(unit, F.col(ts)) for unit in spots.units)
+    keys = spots.keys.select(F.col(spots.key).alias(key), F.lit(True).alias("_hot"))
+    full = spots.slices.select(F.col(spots.key).alias(key), "_coarse", F.lit(True).alias("_full"))
+    marked = df.join(F.broadcast(keys), key, "left").withColumn("_coarse", F.when(F.col("_hot"), coarse))
     return marked.join(F.broadcast(full), [key, "_coarse"], "left").select(
         *df.columns, F.when(F.col("_full"), fine).otherwise(F.col("_coarse")).alias("_slice")
     )
