@@ -36,6 +36,7 @@ def hot_spots(
 
     Each list holds at most rows / hot_rows entries, so both are small enough to broadcast.
     ``source`` should be the plain input of a job, not something costly made from it.
+    Business keys are not null, so null keys are never split.
     """
     many = F.col("_n") > hot_rows
     keys = source.groupBy(key).agg(F.count("*").alias("_n")).filter(many).select(key)

@@ -10,6 +10,7 @@ from pyspark.sql.types import DateType, StructType, TimestampType
 
 from saleswh.functions import SALES_FILE_DATE, to_mb
 from saleswh.schemas import SCHEMAS
+from saleswh.storage import file_system
 
 # Text that means "missing" in the flat sales file.
 MISSING_TOKENS = (
@@ -129,7 +130,13 @@ def read_table(spark: SparkSession, url: str, name_or_query: str, **kwargs) -> D
 
 
 def dataset_size_mb(spark: SparkSession, path: str) -> DataFrame:
-    """Bytes under a path in MB, one row. Lists files only: their content is not read."""
+    """Files and their size in MB under a path, one row; zeros for a missing path.
+
+    Lists files only: their content is not read.
+    """
+    fs, hadoop_path = file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return spark.createDataFrame([(0, 0.0)], "files bigint, size_mb double")
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("length")
     )

@@ -97,6 +97,7 @@ def test_size(spark, tmp_path):
     assert got.size_mb == pytest.approx(want / 1048576)
     plan = sources.dataset_size_mb(spark, str(path))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<length:bigint>" in plan
+    assert rows(sources.dataset_size_mb(spark, str(tmp_path / "none"))) == [(0, 0.0)]
 
 
 def test_prepare_and_views(spark):
