@@ -6,7 +6,6 @@ from saleswh.catalog import query
 from saleswh.functions import (
     day,
     day_name,
-    in_order,
     iso_weekday,
     month_id,
     month_name,

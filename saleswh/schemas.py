@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
+
 def make_schema(**fields: str) -> StructType:
     """Nullable columns by Spark's short type names."""
     schema = StructType()

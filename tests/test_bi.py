@@ -8,7 +8,6 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from saleswh.plans import bi
 
