@@ -24,7 +24,7 @@ from saleswh.storage import stage
 
 WORDS = r"[^\x20\x09-\x0D]+"
 MOST_COPIES = 3
-BINS = 65536
+BINS = 4096
 
 
 def _filled(most: Column, weight: Column, total: Column, over: Window, tie: Column) -> Column:
