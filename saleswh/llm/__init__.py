@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline, each with a named query."""
 
-from saleswh.llm import exact_dedup, line_runs, pareto_mix  # noqa: F401
+from saleswh.llm import exact_dedup, line_runs, pareto_mix, parity_join  # noqa: F401
 from saleswh.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
