@@ -36,6 +36,7 @@ from saleswh.llm.blocks import by_group, in_blocks
 from saleswh.llm.components import components
 from saleswh.llm.registry import query, table
 from saleswh.llm.shingles import mix, shingle_sets
+from saleswh.llm.staging import settle
 from saleswh.storage import stage
 
 #: Documents link from this percentage of common shingles on.
@@ -170,18 +171,21 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b that link, decided on the full sets of one document each."""
-    pairs = stage(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    owners = nodes.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc").alias("owner")).select("owner").distinct()
+def sets_of(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """set_id, parts: the full set of each member, from one document that has it. Texts are shuffled once."""
+    owners = nodes.join(members, "set_id").groupBy("set_id").agg(F.min("doc").alias("owner")).select("owner").distinct()
     read = texts.join(owners, F.col("doc").eqNullSafe(F.col("owner")), "left_semi")
+    kind = read.schema["doc"].dataType.simpleString()
     sets = read.mapInArrow(
-        partial(_sets_of, with_sketch=False), f"doc {read.schema['doc'].dataType.simpleString()}, n long, set_id long, parts array<long>"
-    ).join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]).select("set_id", "parts")
-    sets = stage(sets, "sets")
+        partial(_sets_of, with_sketch=False), f"doc {kind}, n long, set_id long, parts array<long>"
+    )
+    return settle(sets.filter("set_id is not null").dropDuplicates(["set_id"]).select("set_id", "parts"), "sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b that link, decided on their full sets."""
     both = pairs.join(sets.toDF("a", "hash_a"), "a").join(sets.toDF("b", "hash_b"), "b")
-    return stage(both.mapInArrow(partial(_linked, percent=percent), "a long, b long"), "links")
+    return settle(both.mapInArrow(partial(_linked, percent=percent), "a long, b long"), "links")
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -202,11 +206,12 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
     same = Window.partitionBy("word")
     lead, last = F.min("set_id").over(same), F.max("set_id").over(same)
     hits = index.select("word", "set_id", lead.alias("lead"), last.alias("last"))
-    hits = stage(hits.filter("lead < last").drop("last").distinct(), "hits")
+    hits = settle(hits.filter("lead < last").drop("last").distinct(), "hits")
+    full = sets_of(hits.select("set_id").distinct(), nodes, texts)
 
     # round 1: one partner each
     starts = hits.filter("lead < set_id").groupBy("set_id").agg(F.min("lead").alias("lead"))
-    links = verified(starts.select(F.col("lead").alias("a"), F.col("set_id").alias("b")), nodes, texts, percent)
+    links = verified(starts.select(F.col("lead").alias("a"), F.col("set_id").alias("b")), full, percent)
 
     sets = nodes.filter("set_id is not null").groupBy("set_id").agg(F.first("n").alias("n"), F.first("parts").alias("parts"))
     # groups with the same members need one comparison
@@ -223,7 +228,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
         near = in_blocks(rows, "word", "set_id", BLOCK).mapInArrow(
             by_group(["word", "block"], partial(_near, percent=percent, closest=closest)), "a long, b long"
         )
-        more = verified(near.distinct(), nodes, texts, percent)
+        more = verified(stage(near.distinct(), "near"), full, percent)
         links = stage(links.unionAll(more).distinct(), "links")
     reached = components(links)
     placed = nodes.join(reached.withColumnRenamed("node", "set_id"), "set_id", "left").select(
