@@ -1,6 +1,13 @@
 """Operators of a training-data pipeline, each with a named query."""
 
-from saleswh.llm import exact_dedup, line_runs, pareto_mix, parity_join  # noqa: F401
-from saleswh.llm.registry import ORACLES, QUERIES
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in tasks travel with their code: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from saleswh.llm import exact_dedup, line_runs, pareto_mix, parity_join  # noqa: E402, F401
+from saleswh.llm.registry import ORACLES, QUERIES  # noqa: E402
 
 __all__ = ["ORACLES", "QUERIES"]

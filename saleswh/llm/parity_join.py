@@ -58,8 +58,8 @@ def most_different(a, b, percent: int):
     return (100 - percent) * (a + b) // (100 + percent)
 
 
-def words_of(hashes: np.ndarray, low: int, beyond: int, percent: int) -> np.ndarray:
-    """Keys of the sketch words by which a set is found in one band."""
+def words_of(hashes: np.ndarray, low: int, beyond: int, percent: int) -> tuple[np.ndarray, int]:
+    """Keys of the sketch words by which a set is found in one band, and how many of them any partner shares."""
     small = beyond - 1
     most = most_different(small, small * 100 // percent, percent)
     count = most + 1 + (6 + most // 16 if most else 0)
@@ -69,9 +69,17 @@ def words_of(hashes: np.ndarray, low: int, beyond: int, percent: int) -> np.ndar
     np.bitwise_xor.at(words, part, mix(place + np.uint64(1)))
     used = np.zeros(count, bool)
     used[part] = True
-    if count - used.sum() >= count - most:
+    # count - most words agree at least; the empty ones among them do not show
+    shared = count - most - int(count - used.sum())
+    if shared <= 0:
         used[:] = True
-    return mix(mix(words[used] + np.uint64(low)) + np.flatnonzero(used).astype(np.uint64))
+        shared = count - most
+    return mix(mix(words[used] + np.uint64(low)) + np.flatnonzero(used).astype(np.uint64)), shared
+
+
+def _roles(n: int, percent: int) -> list[tuple[int, int]]:
+    """Bands in which a set of n shingles is looked up."""
+    return [(low, beyond) for low, beyond in bands(n) if (beyond - 1) * 100 >= percent * n] if n else []
 
 
 def bit_sketch(hashes: np.ndarray) -> np.ndarray:
@@ -94,7 +102,7 @@ def _set_id(hashes: np.ndarray) -> int:
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch], with_sketch: bool) -> Iterator[pa.RecordBatch]:
-    """doc, n, set_id and the bit sketch, or the whole set."""
+    """doc, n, set_id, and as parts the bit sketch or the whole set."""
     for batch in batches:
         ids, sizes, lists = [], [], []
         for s in shingle_sets(batch.column("text").to_pylist()):
@@ -111,22 +119,23 @@ def _sets_of(batches: Iterator[pa.RecordBatch], with_sketch: bool) -> Iterator[p
 
 
 def _index(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """word, set_id: each set once a task."""
+    """word, set_id, shared: each set once a task; shared is the fewest words that any partner has in common."""
     seen: set[int] = set()
     for batch in batches:
-        keys, owners = [], []
+        keys, owners, least = [], [], []
         for s in shingle_sets(batch.column("text").to_pylist()):
-            n = len(s)
-            if not n or (set_id := _set_id(s)) in seen:
+            if not len(s) or (set_id := _set_id(s)) in seen:
                 continue
             seen.add(set_id)
-            for low, beyond in bands(n):
-                if (beyond - 1) * 100 >= percent * n:
-                    keys.append(words_of(s, low, beyond, percent).view(np.int64))
-                    owners.append(np.full(len(keys[-1]), set_id, np.int64))
+            found = [words_of(s, low, beyond, percent) for low, beyond in _roles(len(s), percent)]
+            shared = min(x for _, x in found)
+            for words, _ in found:
+                keys.append(words.view(np.int64))
+                owners.append(np.full(len(words), set_id, np.int64))
+                least.append(np.full(len(words), shared, np.int32))
         if keys:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), pa.array(np.concatenate(owners))], ["word", "set_id"]
+                [pa.array(np.concatenate(x)) for x in (keys, owners, least)], ["word", "set_id", "shared"]
             )
 
 
@@ -179,7 +188,7 @@ def sets_of(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     sets = read.mapInArrow(
         partial(_sets_of, with_sketch=False), f"doc {kind}, n long, set_id long, parts array<long>"
     )
-    return settle(sets.filter("set_id is not null").dropDuplicates(["set_id"]).select("set_id", "parts"), "sets")
+    return settle(sets.filter("set_id is not null").select("set_id", "parts"), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -202,11 +211,15 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
         texts.mapInArrow(partial(_sets_of, with_sketch=True), f"doc {kind}, n long, set_id long, parts array<long>"),
         "nodes",
     )
-    index = texts.select("text").mapInArrow(partial(_index, percent=percent), "word long, set_id long")
+    index = texts.select("text").mapInArrow(partial(_index, percent=percent), "word long, set_id long, shared int")
     same = Window.partitionBy("word")
     lead, last = F.min("set_id").over(same), F.max("set_id").over(same)
-    hits = index.select("word", "set_id", lead.alias("lead"), last.alias("last"))
-    hits = settle(hits.filter("lead < last").drop("last").distinct(), "hits")
+    hits = index.withColumns({"lead": lead, "last": last}).filter("lead < last")
+    hits = settle(hits.select("word", "set_id", "shared").distinct(), "hits")
+    # a set with fewer words in common with all others than any one partner has has no partner
+    possible = hits.groupBy("set_id").agg(F.count("*").alias("n"), F.min("shared").alias("shared")).filter("n >= shared")
+    hits = hits.join(possible, "set_id", "left_semi").select("word", "set_id", lead.alias("lead"), last.alias("last"))
+    hits = stage(hits.filter("lead < last").drop("last"), "hits")
     full = sets_of(hits.select("set_id").distinct(), nodes, texts)
 
     # round 1: one partner each
