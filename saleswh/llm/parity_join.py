@@ -12,9 +12,13 @@ unless a set has so many of them (P - D or more) that they could be all that agr
 Equal words are only a hint. Sets that share one are linked in rounds, so that a group of thousands of
 near copies never turns into all its pairs:
 
-1. each set against the smallest set it shares any word with;
-2. in each group of sets with an equal word, the closest pair of every two components so far;
-3. every pair of such a group that still lies in two components.
+1. each set against one other, the first set of most of the groups of equal words it is in;
+2. in each group of sets with an equal word, each set against the closest one of another component,
+   again and again while a tenth of these pairs link;
+3. every pair of such a group that still lies in two components and was not tried.
+
+Before each round groups inside one component leave, and so do sets that share fewer words with other
+components than they would with any one partner there.
 
 In rounds 2 and 3 pairs are compared in blocks by their bit sketches, in which every
 shingle flips one bit: a Hamming distance over the bound excludes a pair. What
@@ -83,8 +87,8 @@ def _roles(n: int, percent: int) -> list[tuple[int, int]]:
 
 
 def bit_sketch(hashes: np.ndarray) -> np.ndarray:
-    """One bit flipped by each shingle, in words of 64; as many bits as the next power of two."""
-    bits = max(64, 1 << int(len(hashes) - 1).bit_length()) if len(hashes) else 64
+    """One bit flipped by each shingle, in words of 64: as many bits as the next power of two, up to 4096."""
+    bits = min(max(64, 1 << int(len(hashes) - 1).bit_length()), 4096) if len(hashes) else 64
     out = np.zeros(bits // 64, np.uint64)
     bit = hashes & np.uint64(bits - 1)
     np.bitwise_xor.at(out, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
@@ -139,34 +143,65 @@ def _index(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
             )
 
 
+def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(axis=-1)
+
+
 def _near(table: pa.Table, percent: int, closest: bool) -> Iterator[pa.RecordBatch]:
-    """a, b: pairs of a block in two components whose bit sketches do not exclude a link."""
+    """a, b: pairs of a block in two components whose bit sketches do not exclude a link.
+
+    closest: for each set only the one at the smallest distance.
+    """
     ids, comps, sizes = (table.column(c).to_numpy() for c in ("set_id", "component", "n"))
     side = table.column("side").to_numpy()
     two = side.any()
     sketches = [np.asarray(x.values, dtype=np.int64).view(np.uint64) for x in table.column("parts").combine_chunks()]
     words = min(len(x) for x in sketches)
     bits = np.stack([folded(x, words) for x in sketches])
-    found_a, found_b, found_d = [], [], []
+    a, b = [], []
     for i in range(len(ids)):
-        fits = (comps != comps[i]) & ((side > side[i]) if two else (ids > ids[i]))
-        fits &= (np.minimum(sizes, sizes[i]) * 100 >= percent * np.maximum(sizes, sizes[i]))
-        at = np.flatnonzero(fits)
+        fits = (comps != comps[i]) & ((side != side[i]) if two else (ids != ids[i]))
+        fits &= np.minimum(sizes, sizes[i]) * 100 >= percent * np.maximum(sizes, sizes[i])
+        at = np.flatnonzero(fits if closest else fits & (ids > ids[i]))
         if len(at):
-            far = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1)
+            far = _far(bits[at], bits[i])
             ok = far <= most_different(sizes[at], sizes[i], percent)
-            found_a.append(np.full(ok.sum(), i)), found_b.append(at[ok]), found_d.append(far[ok])
-    if not found_a:
-        return
-    a, b, d = np.concatenate(found_a), np.concatenate(found_b), np.concatenate(found_d)
-    if closest and len(a):
-        low, high = np.minimum(comps[a], comps[b]), np.maximum(comps[a], comps[b])
-        order = np.lexsort((d, high, low))
-        first = np.concatenate([[True], (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)])
-        a, b = a[order][first], b[order][first]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], ["a", "b"]
+            if ok.any():
+                at = at[ok][[np.argmin(far[ok])]] if closest else at[ok]
+                a.append(np.minimum(ids[at], ids[i]))
+                b.append(np.maximum(ids[at], ids[i]))
+    if a:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+
+def _not_excluded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs a, b (sizes n_a, n_b, bit sketches bits_a, bits_b) that _near would keep."""
+    for batch in batches:
+        n, m = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+        keep = np.minimum(n, m) * 100 >= percent * np.maximum(n, m)
+        most = most_different(n, m, percent)
+        for i in np.flatnonzero(keep):
+            x, y = (np.asarray(batch.column(c)[int(i)].values).view(np.uint64) for c in ("bits_a", "bits_b"))
+            words = min(len(x), len(y))
+            keep[i] = _far(folded(x, words), folded(y, words)) <= most[i]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _candidates(hits: DataFrame, sets: DataFrame, percent: int, closest: bool) -> DataFrame:
+    """Pairs a, b of two components to verify, from open groups; groups with the same members are compared once."""
+    sizes = hits.groupBy("word").agg(
+        F.count("*").alias("size"), F.min("set_id").alias("a"), F.max("set_id").alias("b"),
+        F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("sum"),
     )
+    once = stage(sizes.groupBy("sum", "size").agg(F.min("word").alias("word"), F.first("a").alias("a"), F.first("b").alias("b")), "groups")
+    twos = once.filter("size = 2").select("a", "b")
+    twos = twos.join(sets.toDF("a", "n_a", "bits_a"), "a").join(sets.toDF("b", "n_b", "bits_b"), "b")
+    rows = hits.join(once.filter("size > 2").select("word"), "word", "left_semi")
+    rows = rows.select("word", "set_id", "component").join(sets, "set_id")
+    near = in_blocks(rows, "word", "set_id", BLOCK).mapInArrow(
+        by_group(["word", "block"], partial(_near, percent=percent, closest=closest)), "a long, b long"
+    )
+    return near.unionAll(twos.mapInArrow(partial(_not_excluded, percent=percent), "a long, b long")).distinct()
 
 
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -197,6 +232,20 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return settle(both.mapInArrow(partial(_linked, percent=percent), "a long, b long"), "links")
 
 
+def _undecided(placed: DataFrame) -> DataFrame:
+    """Rows (word, set_id, shared, component) that may still hide a link between two components.
+
+    A group inside one component is settled. A set has at least ``shared`` words in common with any partner, and with
+    one in another component all these are in open groups; a set in fewer of them leaves.
+    """
+    for _ in range(2):
+        over = placed.groupBy("word").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+        placed = placed.join(over.select("word"), "word", "left_semi")
+        enough = placed.groupBy("set_id").agg(F.count("*").alias("n"), F.min("shared").alias("least")).filter("n >= least")
+        placed = stage(placed.join(enough.select("set_id"), "set_id", "left_semi"), "undecided")
+    return placed
+
+
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id.
 
@@ -216,33 +265,35 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
     lead, last = F.min("set_id").over(same), F.max("set_id").over(same)
     hits = index.withColumns({"lead": lead, "last": last}).filter("lead < last")
     hits = settle(hits.select("word", "set_id", "shared").distinct(), "hits")
-    # a set with fewer words in common with all others than any one partner has has no partner
-    possible = hits.groupBy("set_id").agg(F.count("*").alias("n"), F.min("shared").alias("shared")).filter("n >= shared")
-    hits = hits.join(possible, "set_id", "left_semi").select("word", "set_id", lead.alias("lead"), last.alias("last"))
-    hits = stage(hits.filter("lead < last").drop("last"), "hits")
+    # every set is its own component so far
+    alone = hits.withColumn("component", F.col("set_id"))
+    hits = stage(_undecided(alone).select("word", "set_id", "shared", F.min("set_id").over(same).alias("lead")), "hits")
     full = sets_of(hits.select("set_id").distinct(), nodes, texts)
 
-    # round 1: one partner each
-    starts = hits.filter("lead < set_id").groupBy("set_id").agg(F.min("lead").alias("lead"))
+    # round 1: one partner each, the first set of most of its groups
+    often = hits.filter("lead < set_id").groupBy("set_id", "lead").agg(F.count("*").alias("times"))
+    starts = stage(often.groupBy("set_id").agg(F.max_by("lead", F.struct("times", "lead")).alias("lead")), "starts")
     links = verified(starts.select(F.col("lead").alias("a"), F.col("set_id").alias("b")), full, percent)
 
     sets = nodes.filter("set_id is not null").groupBy("set_id").agg(F.first("n").alias("n"), F.first("parts").alias("parts"))
-    # groups with the same members need one comparison
-    members = hits.groupBy("word").agg(F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("sum"), F.count("*").alias("size"))
-    groups = hits.join(members.groupBy("sum", "size").agg(F.min("word").alias("word")), "word").select("word", "set_id")
-    groups = stage(groups, "groups")
-    for closest in (True, False):
+    sets = stage(sets.join(hits.select("set_id").distinct(), "set_id", "left_semi"), "sketches")
+    tested, closest = starts.toDF("b", "a").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), True
+    while True:
         reached = components(links)
-        placed = groups.join(reached.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-            "word", "set_id", F.coalesce("component", "set_id").alias("component")
-        )
-        open_words = placed.groupBy("word").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-        rows = placed.join(open_words, "word", "left_semi").join(sets, "set_id")
-        near = in_blocks(rows, "word", "set_id", BLOCK).mapInArrow(
-            by_group(["word", "block"], partial(_near, percent=percent, closest=closest)), "a long, b long"
+        placed = hits.join(reached.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+            "word", "set_id", "shared", F.coalesce("component", "set_id").alias("component")
         )
-        more = verified(stage(near.distinct(), "near"), full, percent)
-        links = stage(links.unionAll(more).distinct(), "links")
+        hits = _undecided(placed)
+        near = _candidates(hits, sets, percent, closest).join(tested, ["a", "b"], "left_anti")
+        near = stage(near, "near")
+        more = verified(near, full, percent)
+        links = stage(links.unionAll(more), "links")
+        if not closest:
+            break
+        # closest pairs again while a tenth of them link; then all that is left
+        closest = more.count() * 10 >= near.count() > 0
+        tested = tested.unionAll(near)
+        hits = hits.drop("component")
     reached = components(links)
     placed = nodes.join(reached.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "doc", "n", F.coalesce("component", "set_id").alias("component")
