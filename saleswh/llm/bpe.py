@@ -38,7 +38,7 @@ REMEMBERED = 400_000
 _MAPS = 4096
 _NONE = 1 << 30
 #: Characters with the property White_Space.
-_WHITE = r"\t-\r \x85\xA0  -     　"
+_WHITE = "".join(f"\\u{c:04X}" for c in [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 
 
 def plain_pattern(pattern: str) -> str:
