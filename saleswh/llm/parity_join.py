@@ -13,8 +13,7 @@ Equal words are only a hint. Sets that share one are linked in rounds, so that a
 near copies never turns into all its pairs:
 
 1. each set against one other, the first set of most of the groups of equal words it is in;
-2. in each group of sets with an equal word, each set against the closest one of another component,
-   again and again while a tenth of these pairs link;
+2. in each group of sets with an equal word, each set against the closest one of another component;
 3. every pair of such a group that still lies in two components and was not tried.
 
 Before each round groups inside one component leave, and so do sets that share fewer words with other
@@ -152,26 +151,46 @@ def _near(table: pa.Table, percent: int, closest: bool) -> Iterator[pa.RecordBat
 
     closest: for each set only the one at the smallest distance.
     """
-    ids, comps, sizes = (table.column(c).to_numpy() for c in ("set_id", "component", "n"))
-    side = table.column("side").to_numpy()
+    ids, comps, sizes, side = (table.column(c).to_numpy() for c in ("set_id", "component", "n", "side"))
     two = side.any()
-    sketches = [np.asarray(x.values, dtype=np.int64).view(np.uint64) for x in table.column("parts").combine_chunks()]
-    words = min(len(x) for x in sketches)
-    bits = np.stack([folded(x, words) for x in sketches])
-    a, b = [], []
-    for i in range(len(ids)):
-        fits = (comps != comps[i]) & ((side != side[i]) if two else (ids != ids[i]))
-        fits &= np.minimum(sizes, sizes[i]) * 100 >= percent * np.maximum(sizes, sizes[i])
-        at = np.flatnonzero(fits if closest else fits & (ids > ids[i]))
-        if len(at):
-            far = _far(bits[at], bits[i])
-            ok = far <= most_different(sizes[at], sizes[i], percent)
-            if ok.any():
-                at = at[ok][[np.argmin(far[ok])]] if closest else at[ok]
-                a.append(np.minimum(ids[at], ids[i]))
-                b.append(np.maximum(ids[at], ids[i]))
-    if a:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+    bits = _same_length(table.column("parts").combine_chunks())
+    step = max(1, 200_000 // max(bits.size, 1))
+    found_a, found_b = [], []
+    for at in range(0, len(ids), step):
+        here = slice(at, at + step)
+        small, large = np.minimum(sizes[here, None], sizes), np.maximum(sizes[here, None], sizes)
+        fits = (comps[here, None] != comps) & (small * 100 >= percent * large)
+        if two:
+            fits &= side[here, None] != side
+        if not closest:
+            fits &= ids[here, None] < ids
+        if not fits.any():
+            continue
+        far = _far(bits[here, None], bits)
+        fits &= far <= most_different(small, large, percent)
+        if closest:
+            i = np.flatnonzero(fits.any(axis=1))
+            j = np.argmin(np.where(fits, far, np.iinfo(far.dtype).max)[i], axis=1)
+        else:
+            i, j = np.nonzero(fits)
+        found_a.append(np.minimum(ids[i + at], ids[j]))
+        found_b.append(np.maximum(ids[i + at], ids[j]))
+    if found_a:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], ["a", "b"])
+
+
+def _same_length(lists: pa.ListArray) -> np.ndarray:
+    """Bit sketches as rows of one matrix, folded to the length of the shortest."""
+    offsets = lists.offsets.to_numpy()
+    values = lists.values.to_numpy().view(np.uint64)
+    lengths = np.diff(offsets)
+    words = lengths.min()
+    out = np.empty((len(lengths), words), np.uint64)
+    for n in np.unique(lengths):
+        rows = np.flatnonzero(lengths == n)
+        picked = values[offsets[rows][:, None] + np.arange(n)]
+        out[rows] = np.bitwise_xor.reduce(picked.reshape(len(rows), n // words, words), axis=1)
+    return out
 
 
 def _not_excluded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -238,12 +257,10 @@ def _undecided(placed: DataFrame) -> DataFrame:
     A group inside one component is settled. A set has at least ``shared`` words in common with any partner, and with
     one in another component all these are in open groups; a set in fewer of them leaves.
     """
-    for _ in range(2):
-        over = placed.groupBy("word").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-        placed = placed.join(over.select("word"), "word", "left_semi")
-        enough = placed.groupBy("set_id").agg(F.count("*").alias("n"), F.min("shared").alias("least")).filter("n >= least")
-        placed = stage(placed.join(enough.select("set_id"), "set_id", "left_semi"), "undecided")
-    return placed
+    over = placed.groupBy("word").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    placed = stage(placed.join(over.select("word"), "word", "left_semi"), "over")
+    enough = placed.groupBy("set_id").agg(F.count("*").alias("n"), F.min("shared").alias("least")).filter("n >= least")
+    return stage(placed.join(enough.select("set_id"), "set_id", "left_semi"), "undecided")
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -277,21 +294,15 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
 
     sets = nodes.filter("set_id is not null").groupBy("set_id").agg(F.first("n").alias("n"), F.first("parts").alias("parts"))
     sets = stage(sets.join(hits.select("set_id").distinct(), "set_id", "left_semi"), "sketches")
-    tested, closest = starts.toDF("b", "a").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), True
-    while True:
+    tested = starts.toDF("b", "a").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    for closest in (True, False):
         reached = components(links)
         placed = hits.join(reached.withColumnRenamed("node", "set_id"), "set_id", "left").select(
             "word", "set_id", "shared", F.coalesce("component", "set_id").alias("component")
         )
         hits = _undecided(placed)
-        near = _candidates(hits, sets, percent, closest).join(tested, ["a", "b"], "left_anti")
-        near = stage(near, "near")
-        more = verified(near, full, percent)
-        links = stage(links.unionAll(more), "links")
-        if not closest:
-            break
-        # closest pairs again while a tenth of them link; then all that is left
-        closest = more.count() * 10 >= near.count() > 0
+        near = stage(_candidates(hits, sets, percent, closest).join(tested, ["a", "b"], "left_anti"), "near")
+        links = stage(links.unionAll(verified(near, full, percent)), "links")
         tested = tested.unionAll(near)
         hits = hits.drop("component")
     reached = components(links)
