@@ -266,6 +266,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     )
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, whose score reaches THRESHOLD."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+    model = train(docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), labels)
+    kind = rows.schema["row"].dataType.simpleString()
+    scored = rows.mapInArrow(partial(_scored, model=model), f"row {kind}, score double")
+    return scored.filter(F.col("score") >= THRESHOLD).select("row.*")
+
+
 @query()
 def op1_crf_quality(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
