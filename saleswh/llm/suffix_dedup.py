@@ -37,10 +37,12 @@ from saleswh.llm.shingles import _BASE, _INVERSE, _powers, mix
 from saleswh.llm.staging import settle
 
 LENGTH = 50
-#: Bytes of the strings a minimizer is picked from.
-K = 16
+#: Bytes of the strings a minimizer is picked from, 8 to 16. Fewer make longer runs, but more chance matches.
+K = 12
 SHALLOW = 24
-CHUNK = 2 << 20
+CHUNK = 4 << 20
+#: Compression of the pieces of a chunk that go to one bucket.
+LEVEL = 6
 #: Bytes of text per bucket.
 BUCKET = 8 << 20
 _LAST = np.iinfo(np.int64).max
@@ -57,7 +59,7 @@ def _eights(text: np.ndarray) -> np.ndarray:
 def window_keys(text: np.ndarray, length: int) -> np.ndarray:
     """The minimizer hash of the window of ``length`` bytes at each position."""
     eights = _eights(np.concatenate([text, np.zeros(8, np.uint8)]))
-    hashes = mix(mix(eights[: len(text) - K + 1]) + eights[8 : len(text) - K + 9] * np.uint64(0xD6E8FEB86659FD93))
+    hashes = mix(mix(eights[: len(text) - K + 1]) + eights[K - 8 : len(text) - 7] * np.uint64(0xD6E8FEB86659FD93))
     span, width = length - K + 1, 1
     while width * 2 <= span:
         hashes = np.minimum(hashes[:-width], hashes[width:])
@@ -78,6 +80,7 @@ def _runs(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.n
     owner = np.repeat(np.arange(len(texts)), sizes)[: len(keys)]
     inside = np.arange(len(keys)) + length <= (begins + sizes)[owner]
     new = np.ones(len(keys), bool)
+    # lengths and starts fit 32 bits: a Spark string is shorter than 2^31 bytes
     new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]) | ~inside[:-1]
     starts = np.flatnonzero(new & inside)
     bounds = np.flatnonzero(new | ~inside)
@@ -143,17 +146,19 @@ def _chunk(held: list[tuple[int, int, bytes]], length: int, buckets: int) -> Ite
         spans = list(zip(edges[:-1], edges[1:]))
     else:
         spans = [(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
-    pack = zstandard.ZstdCompressor(level=1).compress
+    pack = zstandard.ZstdCompressor(level=LEVEL).compress
     numbers, blocks = [], []
     for a, b in spans:
         o = order[a:b]
         full = o[~copy[o]]
-        head = np.column_stack([
-            keys[o].view(np.int64), docs[owner[o]], marks[owner[o]], starts[o] - begins[owner[o]], windows[o], copy[o]
-        ])
-        content = _gathered(text, starts[full], sizes[full])
+        # columns that compress: text numbers, then starts and windows; 32 bits of a key do inside a bucket
+        columns = [
+            np.array([len(o), len(held)], np.int64), docs, marks, np.diff(owner[o], prepend=0).astype(np.int32),
+            (starts[o] - begins[owner[o]]).astype(np.int32), windows[o].astype(np.int32), copy[o],
+            (keys[full] >> np.uint64(32)).astype(np.uint32), _gathered(text, starts[full], sizes[full]),
+        ]
         numbers.append(int(bucket[o[0]]))
-        blocks.append(pack(np.array([len(o)], np.int64).tobytes() + head.astype(np.int64).tobytes() + content.tobytes()))
+        blocks.append(pack(b"".join(c.tobytes() for c in columns)))
     yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "block"])
 
 
@@ -268,9 +273,18 @@ def _repeated(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     heads, contents = [], []
     for block in table.column("block"):
         data = unpack(block.as_buffer())
-        n = int(np.frombuffer(data, np.int64, 1)[0])
-        heads.append(np.frombuffer(data, np.int64, 6 * n, 8).reshape(n, 6))
-        contents.append(np.frombuffer(data, np.uint8, -1, 8 + 48 * n))
+        n, m = np.frombuffer(data, np.int64, 2)
+        docs, marks = np.frombuffer(data, np.int64, m, 16), np.frombuffer(data, np.int64, m, 16 + 8 * m)
+        owner, start, windows = np.frombuffer(data, np.int32, 3 * n, 16 + 16 * m).reshape(3, n).astype(np.int64)
+        at = 16 + 16 * m + 12 * n
+        copy = np.frombuffer(data, bool, n, at)
+        head = np.zeros((n, 6), np.int64)
+        owner = np.cumsum(owner)
+        head[:, 1:] = np.column_stack([docs[owner], marks[owner], start, windows, copy])
+        full = int(n - copy.sum())
+        head[~copy, 0] = np.frombuffer(data, np.uint32, full, at + n)
+        heads.append(head)
+        contents.append(np.frombuffer(data, np.uint8, -1, at + n + 4 * full))
     head, text = np.concatenate(heads), np.concatenate(contents)
     copies = head[head[:, 5] == 1]
     found = [np.column_stack([copies[:, 1:4], copies[:, 3] + copies[:, 4] + length - 1])]
