@@ -38,13 +38,13 @@ from saleswh.llm.staging import settle
 
 LENGTH = 50
 #: Bytes of the strings a minimizer is picked from, 8 to 16. Fewer make longer runs, but more chance matches.
-K = 12
+K = 16
 SHALLOW = 24
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Compression of the pieces of a chunk that go to one bucket.
-LEVEL = 6
+LEVEL = 3
 #: Bytes of text per bucket.
-BUCKET = 8 << 20
+BUCKET = 16 << 20
 _LAST = np.iinfo(np.int64).max
 
 
@@ -310,10 +310,15 @@ def _repeated(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
         ends = np.cumsum(windows)
         starts = np.repeat(places[first] - (ends - windows), windows) + np.arange(ends[-1])
         owner = np.repeat(one_doc, windows)
-        string = equal_windows(small, starts, length)
-        smallest = np.full(string.max() + 1, _LAST)
-        np.minimum.at(smallest, string, owner)
-        least = smallest[string]
+        least = owner.copy()
+        # a piece that alone has its key shares no window with another one
+        _, key_number, pieces = np.unique(head[first, 0], return_inverse=True, return_counts=True)
+        open_ = np.flatnonzero(np.repeat(pieces[key_number] > 1, windows))
+        if len(open_):
+            string = equal_windows(small, starts[open_], length)
+            smallest = np.full(string.max() + 1, _LAST)
+            np.minimum.at(smallest, string, owner[open_])
+            least[open_] = smallest[string]
         # windows of a row that a smaller document has; neighbours join into spans
         rows_ends = np.cumsum(head[:, 4])
         offset = np.arange(rows_ends[-1]) - np.repeat(rows_ends - head[:, 4], head[:, 4])
