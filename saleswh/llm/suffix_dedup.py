@@ -33,18 +33,18 @@ from pyspark.sql import functions as F
 
 from saleswh.llm.blocks import by_group
 from saleswh.llm.registry import query, table
-from saleswh.llm.shingles import _BASE, _INVERSE, _powers, mix
+from saleswh.llm.shingles import mix
 from saleswh.llm.staging import settle
 
 LENGTH = 50
 #: Bytes of the strings a minimizer is picked from, 8 to 16. Fewer make longer runs, but more chance matches.
 K = 16
 SHALLOW = 24
-CHUNK = 2 << 20
+CHUNK = 3 << 20
 #: Compression of the pieces of a chunk that go to one bucket.
 LEVEL = 3
 #: Bytes of text per bucket.
-BUCKET = 16 << 20
+BUCKET = 12 << 20
 _LAST = np.iinfo(np.int64).max
 
 
@@ -56,8 +56,11 @@ def _eights(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def window_keys(text: np.ndarray, length: int) -> np.ndarray:
-    """The minimizer hash of the window of ``length`` bytes at each position."""
+def window_keys(text: np.ndarray, length: int, step: int = 1 << 19) -> np.ndarray:
+    """The minimizer hash of the window of ``length`` bytes at each position, computed in slices."""
+    if len(text) > step + length:
+        slices = (text[at : at + step + length - 1] for at in range(0, len(text) - length + 1, step))
+        return np.concatenate([window_keys(x, length, len(text)) for x in slices])
     eights = _eights(np.concatenate([text, np.zeros(8, np.uint8)]))
     hashes = mix(mix(eights[: len(text) - K + 1]) + eights[K - 8 : len(text) - 7] * np.uint64(0xD6E8FEB86659FD93))
     span, width = length - K + 1, 1
@@ -99,12 +102,17 @@ def _gathered(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     return text[np.cumsum(steps)]
 
 
-def _same_pieces(text: np.ndarray, keys, starts, sizes) -> np.ndarray:
-    """A number per piece that is the same for equal pieces (key, size and a 64-bit hash of the bytes agree)."""
-    sums = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(text)), out=sums[1:])
-    hashes = mix((sums[starts + sizes] - sums[starts]) * _powers(_INVERSE, len(text) + 1)[starts]) + sizes.astype(np.uint64)
-    return mix(hashes ^ keys)
+def _merged(text: np.ndarray, keys: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first of each set of equal pieces, and for each piece the number of its set."""
+    _, number, count = np.unique(keys, return_inverse=True, return_counts=True)
+    root = np.arange(len(keys))
+    raw = text.tobytes()
+    seen: dict[bytes, int] = {}
+    some = np.flatnonzero(count[number] > 1)
+    for i, a, n in zip(some.tolist(), starts[some].tolist(), sizes[some].tolist()):
+        root[i] = seen.setdefault(raw[a : a + n], i)
+    new = root == np.arange(len(root))
+    return np.flatnonzero(new), (np.cumsum(new) - 1)[root]
 
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -134,8 +142,7 @@ def _chunk(held: list[tuple[int, int, bytes]], length: int, buckets: int) -> Ite
     docs, marks = (np.array([x[i] for x in held], np.int64) for i in (0, 1))
     begins = np.cumsum([0, *(len(x[2]) for x in held)])
     sizes = windows + length - 1
-    same = _same_pieces(text, keys, starts, sizes)
-    _, first, back = np.unique(same, return_index=True, return_inverse=True)
+    first, back = _merged(text, keys, starts, sizes)
     copy = docs[owner] > docs[owner[first]][back]
     # pieces of the smallest document itself all stay: one with text is enough for others, but its own are judged too
     bucket = (keys % np.uint64(buckets)).astype(np.int64)
@@ -303,8 +310,7 @@ def _repeated(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
         # equal pieces are one, with the smallest document of them (rows are in order of documents)
         small = _gathered(text, places, sizes)
         places = np.cumsum(sizes) - sizes
-        same = _same_pieces(small, head[:, 0].view(np.uint64), places, sizes)
-        _, first, back = np.unique(same, return_index=True, return_inverse=True)
+        first, back = _merged(small, head[:, 0], places, sizes)
         one_doc = head[first, 1]
         windows = head[first, 4]
         ends = np.cumsum(windows)
