@@ -272,40 +272,58 @@ def equal_windows(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarr
     return out
 
 
+def _parsed(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's pieces (key, doc, mark, start, windows) with text, the copies without, and the text."""
+    n, m = np.frombuffer(data, np.int64, 2)
+    docs, marks = np.frombuffer(data, np.int64, m, 16), np.frombuffer(data, np.int64, m, 16 + 8 * m)
+    owner, start, windows = np.frombuffer(data, np.int32, 3 * n, 16 + 16 * m).reshape(3, n).astype(np.int64)
+    at = 16 + 16 * m + 12 * n
+    copy = np.frombuffer(data, bool, n, at)
+    owner = np.cumsum(owner)
+    rows = np.column_stack([np.zeros(n, np.int64), docs[owner], marks[owner], start, windows])
+    full = rows[~copy]
+    full[:, 0] = np.frombuffer(data, np.uint32, len(full), at + n)
+    return full, rows[copy], np.frombuffer(data, np.uint8, -1, at + n + 4 * len(full))
+
+
+def _shared_keys(blocks: list[pa.Buffer], unpack) -> np.ndarray:
+    """Keys of a bucket that more than one document has, sorted."""
+    parsed = [_parsed(unpack(b))[0][:, :2] for b in blocks]
+    keys = np.concatenate([p[:, 0].astype(np.uint32) for p in parsed])
+    docs = np.concatenate([p[:, 1] for p in parsed])
+    del parsed
+    order = np.argsort(keys)
+    keys, docs = keys[order], docs[order]
+    edge = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    if not len(edge):
+        return keys
+    return keys[edge][np.maximum.reduceat(docs, edge) != np.minimum.reduceat(docs, edge)]
+
+
 def _repeated(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
-    """doc, mark, start, end: bytes of a bucket's runs that a smaller document has in a string of ``length``."""
+    """doc, mark, start, end: bytes of a bucket's runs that a smaller document has in a string of ``length``.
+
+    Blocks are unpacked twice: for the keys of one document only, which are settled, and for the text of the others.
+    """
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
-    heads, contents = [], []
-    for block in table.column("block"):
-        data = unpack(block.as_buffer())
-        n, m = np.frombuffer(data, np.int64, 2)
-        docs, marks = np.frombuffer(data, np.int64, m, 16), np.frombuffer(data, np.int64, m, 16 + 8 * m)
-        owner, start, windows = np.frombuffer(data, np.int32, 3 * n, 16 + 16 * m).reshape(3, n).astype(np.int64)
-        at = 16 + 16 * m + 12 * n
-        copy = np.frombuffer(data, bool, n, at)
-        head = np.zeros((n, 6), np.int64)
-        owner = np.cumsum(owner)
-        head[:, 1:] = np.column_stack([docs[owner], marks[owner], start, windows, copy])
-        full = int(n - copy.sum())
-        head[~copy, 0] = np.frombuffer(data, np.uint32, full, at + n)
-        heads.append(head)
-        contents.append(np.frombuffer(data, np.uint8, -1, at + n + 4 * full))
+    blocks = [b.as_buffer() for b in table.column("block")]
+    shared = _shared_keys(blocks, unpack)
+    heads, contents, found = [], [], []
+    for block in blocks:
+        full, copies, text = _parsed(unpack(block))
+        found.append(np.column_stack([copies[:, 1:4], copies[:, 3] + copies[:, 4] + length - 1]))
+        sizes = full[:, 4] + length - 1
+        keep = np.isin(full[:, 0].astype(np.uint32), shared)
+        contents.append(_gathered(text, (np.cumsum(sizes) - sizes)[keep], sizes[keep]))
+        heads.append(full[keep])
     head, text = np.concatenate(heads), np.concatenate(contents)
-    copies = head[head[:, 5] == 1]
-    found = [np.column_stack([copies[:, 1:4], copies[:, 3] + copies[:, 4] + length - 1])]
-    head = head[head[:, 5] == 0]
+    del heads, contents
     sizes = head[:, 4] + length - 1
     places = np.cumsum(sizes) - sizes
-    # keys that occur in one document only are settled
     order = np.lexsort((head[:, 1], head[:, 0]))
     head, places, sizes = head[order], places[order], sizes[order]
-    if len(head):
-        edge = np.flatnonzero(np.append(True, head[1:, 0] != head[:-1, 0]))
-        shared = np.maximum.reduceat(head[:, 1], edge) != np.minimum.reduceat(head[:, 1], edge)
-        keep = np.repeat(shared, np.diff(np.append(edge, len(head))))
-        head, places, sizes = head[keep], places[keep], sizes[keep]
     if len(head):
         # equal pieces are one, with the smallest document of them (rows are in order of documents)
         small = _gathered(text, places, sizes)
