@@ -35,7 +35,7 @@ def heavy_digests(rows: DataFrame, heavy: int = HEAVY, counters: int = COUNTERS)
 
     The summary only proposes; sizes are counted exactly, so a false candidate cannot win.
     """
-    found = rows.agg(F.expr(f"approx_top_k(digest, {heavy}, {counters})").alias("top"))
+    found = rows.agg(F.expr(f"approx_top_k(digest, {heavy}, {max(heavy, counters)})").alias("top"))
     candidates = found.select(F.explode("top.item").alias("digest"))
     least = rows.agg(F.greatest(F.lit(2), F.ceil(F.count("*") / heavy))).scalar()
     exact = (

@@ -139,7 +139,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, at, heads, blocks = gzip.decompress(value.as_py()), 0, [], []
             while at < len(data):
                 end = data.index(b"\r\n\r\n", at)
-                head = [x.split(": ", 1) for x in data[at:end].decode().split(CRLF)[1:]]
+                head = [tuple(x.split(": ", 1)) for x in data[at:end].decode().split(CRLF)[1:]]
                 size = int(dict(head)["Content-Length"])
                 heads.append(head)
                 blocks.append(data[end + 4 : end + 4 + size].decode())
