@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from saleswh.functions import to_double
 from saleswh.operators.scd2 import version_attribute_count
@@ -62,16 +63,18 @@ def upsert_partitions(source: DataFrame, base: str, key: str, part: str) -> None
     """Upsert into a dataset laid out by ``part``, rewriting only the partitions the batch touches.
 
     ``part`` is a column of the documents that never changes for a key, such as the order
-    month. Only the list of touched partition values comes to the driver. The merged
-    partitions are written aside first, since the old files are read to make them; running
-    the batch again after a failure gives the same result.
+    month. The base is read with the batch's type of ``part``, so that "01" stays a string, and touched
+    partitions are found by a null-safe join. The merged partitions are written aside first,
+    since the old files are read to make them; running the batch again after a failure gives the same result.
     """
     spark = source.sparkSession
     batch = stage(source, "batch")
     fs, path = file_system(spark, base)
     if fs.exists(path):
-        touched = [r[0] for r in batch.select(part).distinct().collect()]
-        target = spark.read.parquet(base).filter(F.col(part).isin(touched))
+        kept = [batch.schema[f.name] if f.name == part else f for f in spark.read.parquet(base).schema]
+        touched = batch.select(F.col(part).alias("_touched")).distinct()
+        target = spark.read.schema(StructType(kept)).parquet(base)
+        target = target.join(touched, F.col(part).eqNullSafe(F.col("_touched")), "left_semi")
         batch = stage(upsert(target, batch, key), "merged")
     batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(base)
 

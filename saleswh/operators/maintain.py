@@ -44,8 +44,10 @@ def append_select(dst: DataFrame, src: DataFrame, cond: Column, values: Mapping[
 
 
 def append(a: DataFrame, b: DataFrame) -> DataFrame:
-    """All rows of both, matched by column name; columns missing in b become null."""
-    return a.unionByName(b.select(*[c for c in a.columns if c in b.columns]), allowMissingColumns=True)
+    """All rows of both, matched by column name; columns missing in b become null, unknown ones are an error."""
+    if unknown := [c for c in b.columns if c not in a.columns]:
+        raise ValueError(f"columns that the target does not have: {unknown}")
+    return a.unionByName(b, allowMissingColumns=True).select(*a.columns)
 
 
 def apply_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:

@@ -79,10 +79,13 @@ def scd2_insert(dim: DataFrame, changes: DataFrame, key: str, ts: str = "changed
 
 
 def split_late(dim: DataFrame, changes: DataFrame, key: str, ts: str = "changed_at") -> tuple[DataFrame, DataFrame]:
-    """(accepted, late): a change is late when it is not after the start of the key's current version."""
+    """(accepted, late): a change is late when it is not after the start of the key's current version.
+
+    A change without a time cannot be placed and counts as late; accepted and late together hold every change.
+    """
     since = scd2_current(dim).select(key, F.col("valid_from").alias("_since"))
     marked = changes.join(since, key, "left")
-    late = F.col("_since").isNotNull() & (F.col(ts) <= F.col("_since"))
+    late = F.col(ts).isNull() | (F.col("_since").isNotNull() & (F.col(ts) <= F.col("_since")))
     return marked.filter(~late).drop("_since"), marked.filter(late).drop("_since")
 
 

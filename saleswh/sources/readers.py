@@ -19,9 +19,20 @@ MISSING_TOKENS = (
 )
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _csv(spark: SparkSession, multi_line: bool):
+    """Reader for CSV with a header: quotes are doubled inside quotes, a line of another width is an error.
+
+    ``multi_line`` allows line breaks inside quotes; such a file cannot be split among tasks.
+    """
+    return (
+        spark.read.option("header", True).option("quote", '"').option("escape", '"')
+        .option("mode", "FAILFAST").option("columnPruning", False).option("multiLine", multi_line)
+    )
+
+
+def read_typed_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """CSV with a header, typed by the target table; a malformed line is an error."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    return _csv(spark, multi_line).schema(schema).csv(path)
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
@@ -39,18 +50,14 @@ def read_sales_csv(
     date_fmt: str = SALES_FILE_DATE,
     missing: Iterable[str] = MISSING_TOKENS,
     schema: StructType = SCHEMAS["sales_file"],
+    multi_line: bool = False,
 ) -> DataFrame:
     """The flat sales file: latin-1, dates in ``date_fmt``, ``missing`` tokens read as null.
 
     Columns are matched by header name, so extra file columns and any order are fine.
     Values that are neither missing nor of the column's type are an error.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("encoding", "ISO-8859-1")
-        .option("nullValue", "")
-        .csv(path)
-    )
+    raw = _csv(spark, multi_line).option("encoding", "ISO-8859-1").option("nullValue", "").csv(path)
     tokens = list(missing)
 
     def typed(field):

@@ -30,7 +30,7 @@ def prescale(df: DataFrame, base: str, scales: Sequence[int]) -> dict[int, str]:
 
 
 def append_table(df: DataFrame, name: str, cols: Sequence[str] | None = None, path: str | None = None) -> None:
-    """Append the chosen columns to a table, by column name; other table columns become null.
+    """Append the chosen columns to a table, by column name; other table columns become null, unknown ones are an error.
 
     ``path`` places the table's files when the table does not exist yet.
     """
@@ -38,6 +38,8 @@ def append_table(df: DataFrame, name: str, cols: Sequence[str] | None = None, pa
     out = df.select(*cols) if cols else df
     if spark.catalog.tableExists(name):
         empty = spark.table(name).limit(0)
+        if unknown := [c for c in out.columns if c not in empty.columns]:
+            raise ValueError(f"columns that {name} does not have: {unknown}")
         out = empty.unionByName(out, allowMissingColumns=True).select(*empty.columns)
         out.write.mode("append").insertInto(name)
         return
