@@ -67,12 +67,15 @@ def _let(value: Column, body) -> Column:
 
 
 def folded_codes(word: Column, ranks: dict[bytes, int]) -> Column:
-    """IDs of a word (not empty): the fold over its bytes."""
-    literal = _rank_literal(ranks)
+    """IDs of a word (not empty): the fold over its bytes. The plan names the rank literal once."""
+    return _let(_rank_literal(ranks), lambda maps: _folded(word, maps))
+
+
+def _folded(word: Column, maps: Column) -> Column:
     none = F.lit(_NONE)
 
     def rank(token: Column) -> Column:
-        return F.try_element_at(F.element_at(literal, (F.crc32(token) % _MAPS + 1).cast("int")), F.hex(token))
+        return F.try_element_at(F.element_at(maps, (F.crc32(token) % _MAPS + 1).cast("int")), F.hex(token))
 
     def pair(a: Column, b: Column) -> Column:
         return F.coalesce(rank(F.concat(a, b)), none)
