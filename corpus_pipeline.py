@@ -15,7 +15,7 @@ from saleswh.llm.crf_quality import keep_good
 from saleswh.llm.line_runs import dedup_lines
 from saleswh.llm.pareto_mix import WORDS, pareto_mix
 from saleswh.llm.parity_join import jaccard_join
-from saleswh.storage import stage
+from saleswh.llm.staging import settle
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,5 +74,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = settle(step(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

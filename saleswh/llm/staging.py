@@ -9,13 +9,23 @@ from pyspark.sql import DataFrame
 from saleswh.storage import stage
 
 
+#: Asks Spark to delete the shuffle files of a statement when it ends, not when the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder, go on from the written table and let go of what made it.
 
-    Spark deletes a finished shuffle's files once its driver objects are collected. That is asked
-    for here, so the files of one large step need not share the disk with those of the next.
+    The shuffle files of one large step need not share the disk with those of the next: Spark drops them once the table
+    is written. The driver's garbage is collected as well.
     """
-    written = stage(df, label)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        written = stage(df, label)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return written
