@@ -39,7 +39,8 @@ from saleswh.llm.staging import settle
 LENGTH = 50
 #: Bytes of the strings a minimizer is picked from, 8 to 16. Fewer make longer runs, but more chance matches.
 K = 16
-SHALLOW = 24
+#: Bytes ordered by sorting; each level of eight is cheap next to the tries, which then see few suffixes.
+SHALLOW = 40
 CHUNK = 3 << 20
 #: Compression of the pieces of a chunk that go to one bucket.
 LEVEL = 3
@@ -257,17 +258,22 @@ def equal_windows(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarr
     raw = padded.tobytes()
     firsts = np.cumsum(sizes) - sizes
     number = np.cumsum(new)
-    for g in np.flatnonzero(broken & (sizes > 1)):
-        a, n = firsts[g], sizes[g]
+    # of neighbours that agree throughout, the first stands for all
+    heads = np.flatnonzero(new & broken[group])
+    cuts = np.flatnonzero(np.diff(group[heads], prepend=-1, append=-1)).tolist()
+    members = sorted_starts[heads].tolist()
+    places = []
+    for a, b in zip(cuts[:-1], cuts[1:]):
         trie = BlindTrie(raw, depth, length)
-        for s in sorted_starts[a : a + n].tolist():
+        for s in members[a:b]:
             trie.add(s)
-        place = {}
-        for k, leaf in enumerate(trie.leaves()):
-            for s in leaf:
-                place[s] = k
-        # a group has at least as many numbers as leaves
-        number[a : a + n] = number[a] + np.array([place[s] for s in sorted_starts[a : a + n].tolist()])
+        place = {s: k for k, leaf in enumerate(trie.leaves()) for s in leaf}
+        places += [place[s] for s in members[a:b]]
+    # a group has at least as many numbers as leaves
+    tied = np.flatnonzero(broken[group])
+    if len(tied):
+        run = np.searchsorted(heads, tied, side="right") - 1
+        number[tied] = number[firsts[group[tied]]] + np.array(places)[run]
     out[order] = number
     return out
 
