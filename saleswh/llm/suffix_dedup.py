@@ -51,10 +51,10 @@ _LAST = np.iinfo(np.int64).max
 
 def _eights(text: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on as one number that sorts like them; text is padded by eight."""
-    out = np.zeros(len(text) - 8, np.uint64)
-    for k in range(8):
-        out = (out << np.uint64(8)) | text[k : len(text) - 8 + k]
-    return out
+    out = text
+    for width, kind in ((1, np.uint16), (2, np.uint32), (4, np.uint64)):
+        out = (out[:-width].astype(kind) << kind(8 * width)) | out[width:]
+    return out[: len(text) - 8]
 
 
 def window_keys(text: np.ndarray, length: int, step: int = 1 << 19) -> np.ndarray:
@@ -175,7 +175,7 @@ def shallow_sort(words: list[np.ndarray], starts: np.ndarray) -> tuple[np.ndarra
 
     words[d][s] is character d of the suffix at s.
     """
-    order = np.argsort(words[0][starts], kind="stable")
+    order = np.argsort(words[0][starts])
     group = np.cumsum(np.diff(words[0][starts[order]], prepend=words[0][starts[order[:1]]]) != 0)
     for word in words[1:]:
         sizes = np.bincount(group)
@@ -321,7 +321,8 @@ def _repeated(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
         full, copies, text = _parsed(unpack(block))
         found.append(np.column_stack([copies[:, 1:4], copies[:, 3] + copies[:, 4] + length - 1]))
         sizes = full[:, 4] + length - 1
-        keep = np.isin(full[:, 0].astype(np.uint32), shared)
+        keys = full[:, 0].astype(np.uint32)
+        keep = np.searchsorted(shared, keys, side="right") > np.searchsorted(shared, keys)
         contents.append(_gathered(text, (np.cumsum(sizes) - sizes)[keep], sizes[keep]))
         heads.append(full[keep])
     head, text = np.concatenate(heads), np.concatenate(contents)
