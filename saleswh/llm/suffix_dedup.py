@@ -53,7 +53,10 @@ def _eights(text: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on as one number that sorts like them; text is padded by eight."""
     out = text
     for width, kind in ((1, np.uint16), (2, np.uint32), (4, np.uint64)):
-        out = (out[:-width].astype(kind) << kind(8 * width)) | out[width:]
+        wide = out[:-width].astype(kind)
+        wide <<= kind(8 * width)
+        wide |= out[width:]
+        out = wide
     return out[: len(text) - 8]
 
 
