@@ -103,7 +103,7 @@ def _gathered(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     steps = np.ones(ends[-1], np.int64)
     steps[0] = starts[0]
     steps[ends[:-1]] = starts[1:] - starts[:-1] - sizes[:-1] + 1
-    return text[np.cumsum(steps)]
+    return text[np.cumsum(steps, out=steps)]
 
 
 def _merged(text: np.ndarray, keys: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -337,6 +337,7 @@ def _repeated(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     if len(head):
         # equal pieces are one, with the smallest document of them (rows are in order of documents)
         small = _gathered(text, places, sizes)
+        del text
         places = np.cumsum(sizes) - sizes
         first, back = _merged(small, head[:, 0], places, sizes)
         one_doc = head[first, 1]
