@@ -7,9 +7,11 @@ each list is a direction. A vector's score is then a sum of two terms, so all
 directions over the threshold can be listed without looking at the others: one list is sorted, and
 each entry of the other takes a prefix of it.
 
-The threshold falls with the number of vectors so that a filter passes about ``PASS`` unrelated ones. The number of
-directions follows from the chance that a pair at the least cosine passes a common filter: the
-expected number of common filters is ``SAFETY * log(1 / MISS)``. Vectors meet in the
+The threshold rises with the number of vectors so that a filter passes about ``PASS`` unrelated ones, up to the least
+cosine of a pair. The number of directions follows from the chance that a pair at the least cosine passes a common
+filter, both taken from the distribution of the cosine in the vectors' dimension: the expected number of common filters is
+``SAFETY * log(1 / MISS)``, dealt over ``CODES`` rotations; vectors of few dimensions have a list of single
+directions and ``log(1 / MISS)``. Vectors meet in the
 filters they share, in blocks of bounded size, and every pair is verified. A pair counts in its smallest common filter
 only. A block returns sums per vector and a spanning forest of its links, so a group of near
 copies never turns into rows for all its pairs.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from functools import partial
 
 import numpy as np
@@ -42,24 +45,69 @@ BLOCK = 1500
 SEED = 7
 
 
-def _tail(t: float) -> float:
-    return 0.5 * math.erfc(t / math.sqrt(2))
+#: Up to this dimension directions are single vectors, not pairs: halves of so few coordinates are often out of balance.
+SINGLE = 7
+#: Product codes with rotations of their own that share the filters of a dimension.
+CODES = 8
 
 
-def filter_plan(vectors: int, least: float = LEAST) -> tuple[float, int]:
-    """Threshold in standard deviations, and the length of each half's list."""
+@dataclass(frozen=True)
+class Plan:
+    """Filters for vectors of one dimension: cosine threshold, length of a list, number of codes, first filter."""
+
+    cut: float
+    length: int
+    codes: int
+    first: int = 0
+
+    @property
+    def filters(self) -> int:
+        return self.length if self.codes == 0 else self.length * self.length * self.codes
+
+
+def _tail(cosine, dims: int):
+    """Chance that a random direction has at least this cosine with a fixed one."""
+    cosine = np.asarray(cosine, np.float64)
+    if dims == 1:
+        return np.where(cosine <= -1, 1.0, np.where(cosine <= 1, 0.5, 0.0))
+    edges = np.linspace(0, math.pi, 100_001)
+    share = np.concatenate([[0], np.cumsum(np.sin((edges[1:] + edges[:-1]) / 2) ** (dims - 2))])
+    return np.interp(np.arccos(np.clip(cosine, -1, 1)), edges, share / share[-1])
+
+
+def _common(cut: float, dims: int, least: float) -> float:
+    """Chance that a vector passes a filter that its partner at cosine least passes."""
+    widest = math.acos(cut)
+    angle = (np.arange(4000) + 0.5) / 4000 * widest
+    density = np.sin(angle) ** (dims - 2)
+    # the partner's cosine is least * cos(angle) and a part across, a random direction in one dimension less
+    across = (cut - least * np.cos(angle)) / (math.sqrt(1 - least * least) * np.sin(angle))
+    both = np.where(across <= 1, _tail(across, dims - 1), 0.0)
+    return float((density * both).sum() / density.sum())
+
+
+def filter_plan(vectors: int, dims: int, least: float = LEAST) -> Plan:
+    """Threshold and lists from the tails of the cosine in this dimension, not from those of a normal."""
+    if dims == 1:
+        return Plan(-2.0, 1, 0)
     rate = min(0.1, PASS / max(vectors, 1))
-    low, high = 0.0, 12.0
-    while high - low > 1e-6:
+    low, high = 0.0, max(least, 0.0)  # beyond the pair's cosine filters would be shared by nearer pairs only
+    while high - low > 1e-9:
         mid = (low + high) / 2
-        low, high = (mid, high) if _tail(mid) > rate else (low, mid)
-    # chance that the partner passes too: the partner is normal around least * x with deviation sqrt(1 - least^2)
-    grid = low + (np.arange(2000) + 0.5) * 0.002
-    density = np.exp(-grid * grid / 2)
-    both = np.array([_tail((low - least * x) / math.sqrt(1 - least * least)) for x in grid])
-    chance = float((density * both).sum() / density.sum())
-    filters = SAFETY * math.log(1 / MISS) / chance / rate
-    return low, max(4, math.ceil(math.sqrt(filters)))
+        low, high = (mid, high) if _tail(mid, dims) > rate else (low, mid)
+    wanted = math.log(1 / MISS) / _common(low, dims, least) / float(_tail(low, dims))
+    if dims <= SINGLE:
+        return Plan(low, math.ceil(wanted), 0)
+    return Plan(low, max(4, math.ceil(math.sqrt(SAFETY * wanted / CODES))), CODES)
+
+
+def filter_plans(counts: dict[int, int], least: float = LEAST) -> dict[int, Plan]:
+    """Plans by dimension; no filter serves two dimensions."""
+    plans, first = {}, 0
+    for dims, vectors in sorted(counts.items()):
+        plans[dims] = replace(filter_plan(vectors, dims, least), first=first)
+        first += plans[dims].filters
+    return plans
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -68,13 +116,13 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def product_code(dims: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+def product_code(dims: int, length: int, number: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """The two lists as directions in the space before the rotation: (length, dims) each, of norm 1 / sqrt(2)."""
-    rng = np.random.default_rng([SEED, dims, length])
+    rng = np.random.default_rng([SEED, dims, length, number])
     rotation = np.linalg.qr(rng.standard_normal((dims, dims)))[0]
-    half = max(dims // 2, 1)
+    half = dims // 2
     lists = []
-    for at in (slice(0, half), slice(half if dims > 1 else 0, dims)):
+    for at in (slice(0, half), slice(half, dims)):
         code = np.zeros((length, dims))
         code[:, at] = rng.standard_normal((length, code[:, at].shape[1]))
         code /= np.linalg.norm(code, axis=1, keepdims=True) * math.sqrt(2)
@@ -82,24 +130,39 @@ def product_code(dims: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     return lists[0], lists[1]
 
 
-def _decoded(batches: Iterator[pa.RecordBatch], plan: tuple[float, int]) -> Iterator[pa.RecordBatch]:
+def plan_codes(dims: int, plan: Plan) -> list[tuple[np.ndarray, ...]]:
+    """The lists of a plan: two of each product code, or a single one of whole directions."""
+    if plan.codes:
+        return [product_code(dims, plan.length, number) for number in range(plan.codes)]
+    return [(_unit(np.random.default_rng([SEED, dims, plan.length]).standard_normal((plan.length, dims))),)]
+
+
+def filters_of(unit: np.ndarray, plan: Plan, codes: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+    """Sorted filters that a unit vector passes."""
+    if not plan.codes:
+        return plan.first + np.flatnonzero(codes[0][0] @ unit >= plan.cut)
+    found = []
+    for number, (heads, tails) in enumerate(codes):
+        first, second = heads @ unit, tails @ unit
+        order = np.argsort(-second)
+        taken = np.searchsorted(-second[order], first - plan.cut, side="right")
+        some = np.flatnonzero(taken)
+        at = plan.first + (number * plan.length + some) * plan.length
+        found.extend(a + order[:k] for a, k in zip(at, taken[some]))
+    return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], plans: dict[int, Plan]) -> Iterator[pa.RecordBatch]:
     """vec, copies, embedding, filters (sorted)."""
-    cut, length = plan
-    codes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    codes: dict[int, list[tuple[np.ndarray, ...]]] = {}
     for batch in batches:
-        lists = [np.asarray(x.values) for x in batch.column("embedding")]
         filters = []
-        for x in lists:
+        for x in batch.column("embedding"):
+            x = np.asarray(x.values)
             dims = len(x)
             if dims not in codes:
-                codes[dims] = product_code(dims, length)
-            unit = _unit(x[None, :])[0]
-            first, second = codes[dims][0] @ unit, codes[dims][1] @ unit
-            order = np.argsort(-second)
-            taken = np.searchsorted(-second[order], first - cut / math.sqrt(dims), side="right")
-            heads = np.repeat(np.arange(length), taken)
-            tails = np.concatenate([order[:k] for k in taken]) if len(heads) else heads
-            filters.append(np.sort(heads * length + tails))
+                codes[dims] = plan_codes(dims, plans[dims])
+            filters.append(filters_of(_unit(x[None, :])[0], plans[dims], codes[dims]))
         offsets = pa.array(np.concatenate([[0], np.cumsum([len(f) for f in filters])]), pa.int32())
         values = pa.array(np.concatenate(filters) if filters else [], pa.int64())
         yield pa.RecordBatch.from_arrays(
@@ -110,7 +173,6 @@ def _decoded(batches: Iterator[pa.RecordBatch], plan: tuple[float, int]) -> Iter
 
 def _links(table: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
     """vec, n: weight of the links counted here; and vec, to: edges of a spanning forest (n = 0)."""
-    here = table.column("filter")[0].as_py()
     vecs, copies, side = (table.column(c).to_numpy() for c in ("vec", "copies", "side"))
     two = side.any()
     unit = _unit(np.stack([np.asarray(x.values) for x in table.column("embedding").combine_chunks()]))
@@ -125,7 +187,7 @@ def _links(table: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
     vecs, copies = vecs[some], copies[some]
     # a pair belongs to its smallest common filter
     lists = table.column("filters").combine_chunks().take(pa.array(some))
-    earlier = [f[: np.searchsorted(f, here)] for f in (np.asarray(x.values) for x in lists)]
+    earlier = [np.asarray(x.values) for x in lists]
     names, index = np.unique(np.concatenate(earlier), return_inverse=True)
     has = np.zeros((len(some), len(names)), np.float32)
     has[np.repeat(np.arange(len(some)), [len(f) for f in earlier]), index] = 1
@@ -171,12 +233,15 @@ def vector_links(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
     good = F.coalesce(good, F.lit(False))
     distinct = rows.filter(good).groupBy("embedding").agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
     distinct = stage(distinct.withColumn("vec", F.monotonically_increasing_id()), "vectors")
-    plan = filter_plan(distinct.count(), least)
+    dims = distinct.groupBy(F.size("embedding").alias("dims")).agg(F.count("*").alias("vectors")).collect()
+    plans = filter_plans({r.dims: r.vectors for r in dims}, least)
     kind = distinct.schema["embedding"].dataType.simpleString()
     found = distinct.select("vec", "copies", "embedding").mapInArrow(
-        partial(_decoded, plan=plan), f"vec long, copies long, embedding {kind}, filters array<long>"
+        partial(_decoded, plans=plans), f"vec long, copies long, embedding {kind}, filters array<long>"
     )
-    spread = found.select("vec", "copies", "embedding", "filters", F.explode("filters").alias("filter"))
+    spread = found.select("vec", "copies", "embedding", "filters", F.posexplode("filters").alias("at", "filter"))
+    # a block reads only the filters before its own
+    spread = spread.select("vec", "copies", "embedding", F.slice("filters", F.lit(1), F.col("at")).alias("filters"), "filter")
     links = stage(
         in_blocks(spread, "filter", "vec", BLOCK).mapInArrow(
             by_group(["filter", "block"], partial(_links, least=least)), "vec long, to long, n long"

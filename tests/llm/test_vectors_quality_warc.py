@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from saleswh.llm import crf_quality as Q
 from saleswh.llm import warc
-from saleswh.llm.cap_filters import vector_links
+from saleswh.llm.cap_filters import LEAST, filter_plan, filters_of, plan_codes, vector_links
 
 
 def test_vector_links(spark):
@@ -30,6 +30,39 @@ def test_vector_links(spark):
     assert all(got[k].n_links == 0 and got[k].component_id == k and got[k].kept for k in range(3000, 3007))
 
 
+def pairs(rng, n, dims, cosine=LEAST):
+    """n unit vectors, and partners at the given cosine."""
+    x, z = rng.standard_normal((2, n, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    return x, cosine * x + np.sqrt(1 - cosine * cosine) * z
+
+
+@pytest.mark.parametrize("dims, rows", [(2, 10**6), (8, 10**6), (16, 10**5), (32, 10**6), (64, 10**4), (64, 10**6), (64, 10**8)])
+def test_pairs_meet_at_any_row_count(dims, rows):
+    plan = filter_plan(rows, dims)
+    codes = plan_codes(dims, plan)
+    n = 1000 if rows < 10**8 else 100
+    missed = [not len(np.intersect1d(filters_of(a, plan, codes), filters_of(b, plan, codes))) for a, b in zip(*pairs(np.random.default_rng(3), n, dims))]
+    assert np.mean(missed) <= 0.005
+
+
+@pytest.mark.parametrize("rows", [1000, 8000])
+def test_links_by_brute_force(spark, rows):
+    """Links of a query subset against all rows; vectors of other dimensions stay apart."""
+    rng = np.random.default_rng(rows)
+    a, b = pairs(rng, rows // 2, 24, 0.901)
+    all_rows = np.concatenate([a, b])
+    odd = [(rows + i, v) for i, v in enumerate([[1.0, 0.0], [1.0, 0.1], [2.0], [3.0], [-1.0], [1.0, 0.0, 0.0], [1.0, 0.0, 0.1]])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(all_rows)] + odd, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vector_links(df).collect()}
+    want = (all_rows[:500] @ all_rows.T >= 0.9).sum(axis=1) - 1
+    found = np.array([got[i] for i in range(500)])
+    assert (found <= want).all() and found.sum() >= 0.995 * want.sum()
+    assert [got[rows + i] for i in range(7)] == [1, 1, 1, 1, 0, 1, 1]
+
+
 def test_no_vectors(spark):
     assert vector_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
