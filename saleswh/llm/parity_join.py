@@ -75,8 +75,9 @@ def words_of(hashes: np.ndarray, low: int, beyond: int, percent: int) -> tuple[n
     # count - most words agree at least; the empty ones among them do not show
     shared = count - most - int(count - used.sum())
     if shared <= 0:
+        # a partner may leave its empty words out: then only the one or more that it is sure to share are met
         used[:] = True
-        shared = count - most
+        shared = 1
     return mix(mix(words[used] + np.uint64(low)) + np.flatnonzero(used).astype(np.uint64)), shared
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from saleswh.llm.exact_dedup import exact_dedup
 from saleswh.llm.line_runs import dedup_lines
 from saleswh.llm.pareto_mix import pareto_mix
-from saleswh.llm.parity_join import bands, jaccard_join, most_different
+from saleswh.llm.parity_join import bands, jaccard_join, most_different, words_of
+from saleswh.llm.shingles import shingle_sets
 
 SCHEMA = "doc_id long, text string, source string, digest string, n long, row string"
 
@@ -138,3 +139,17 @@ def test_no_rows(spark):
     none = docs(spark, [])
     for found in (exact_dedup(none), dedup_lines(none), jaccard_join(none), pareto_mix(none)):
         assert found.count() == 0
+
+
+def test_added_shingle_beside_few_words(spark):
+    """A set with too many empty words emits them all; its partner with one shingle more emits only its own."""
+    rng = random.Random(4)
+    while True:
+        words = [f"w{rng.randrange(10**9)}" for _ in range(11)]
+        pair = [" ".join(words[:-1]), " ".join(words)]
+        (a, shared), (b, _) = (words_of(x, 6, 9, 80) for x in shingle_sets(pair))
+        if len(a) == 9 and len(b) == 3:
+            break
+    assert shared <= len(set(a.tolist()) & set(b.tolist()))
+    got = {r.doc_id: r.component_id for r in jaccard_join(docs(spark, [(i, x, "a") for i, x in enumerate(pair)])).collect()}
+    assert got == {0: 0, 1: 0}
