@@ -35,9 +35,7 @@ class Star:
     def flat(self, columns: Sequence[str] | None = None) -> DataFrame:
         """Fact rows with their dimension columns, all twenty or the chosen ones.
 
-        Only dimensions that own a chosen column are joined. The fact's keys are foreign
-        keys, so a dimension that is not joined would drop only rows whose key is null;
-        those are filtered out instead.
+        Dimensions that own no chosen column only filter, by their keys, so any choice gives the same rows.
         """
         wanted = list(columns or [c for cols in FLAT_COLUMNS.values() for c in cols])
         out = self.fact
@@ -47,7 +45,7 @@ class Star:
             if cols:
                 out = out.join(getattr(self, name).select(key, *cols), key)
             else:
-                out = out.filter(F.col(key).isNotNull())
+                out = out.join(getattr(self, name).select(key), key, "left_semi")
         return out.select(*wanted)
 
 

@@ -58,7 +58,7 @@ def _products(spark, sf_dir) -> DataFrame:
 
 
 def _customers(spark, sf_dir, columns: Sequence[str] = FLAT_COLUMNS["customer"]) -> DataFrame:
-    """Customers with the wanted columns; places are joined only when one of theirs is wanted."""
+    """Customers with the wanted columns; places only filter when none of theirs is wanted."""
     out = table(spark, sf_dir, "customer")
     exprs = {
         "customer_name": F.col("c_name"),
@@ -67,12 +67,11 @@ def _customers(spark, sf_dir, columns: Sequence[str] = FLAT_COLUMNS["customer"])
         "country": F.col("n_name"),
         "territory": F.col("r_name"),
     }
-    if "country" in columns or "territory" in columns:
-        places = table(spark, sf_dir, "nation")
-        if "territory" in columns:
-            region = table(spark, sf_dir, "region")
-            places = places.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        out = out.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    far = "territory" in columns
+    near = far or "country" in columns
+    region = table(spark, sf_dir, "region")
+    places = table(spark, sf_dir, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"), "inner" if far else "left_semi")
+    out = out.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "inner" if near else "left_semi")
     return out.select(F.col("c_custkey").alias("customer_key"), *[exprs[c].alias(c) for c in columns])
 
 
@@ -110,25 +109,20 @@ def sales_flat(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None =
 
     Customers and places are joined to the order heads first, so line items, by far the
     largest table, are shuffled by order at most once for them. As in Star.flat, tables that own no
-    chosen column are not joined: their keys are foreign keys that are never null.
+    chosen column only filter.
     """
     wanted = list(columns or [c for cols in FLAT_COLUMNS.values() for c in cols])
     out = _lines(spark, sf_dir)
     dates = [c for c in FLAT_COLUMNS["date"] if c in wanted]
     people = [c for c in FLAT_COLUMNS["customer"] if c in wanted]
     goods = [c for c in FLAT_COLUMNS["product"] if c in wanted]
-    if dates or people:
-        heads = table(spark, sf_dir, "orders")
-        days = _calendar(F.col("o_orderdate"))
-        if people:
-            customers = _customers(spark, sf_dir, people)
-            heads = heads.join(customers, F.col("o_custkey") == F.col("customer_key"))
-        heads = heads.select(
-            F.col("o_orderkey").alias("order_number"), *[days[c].alias(c) for c in dates], *people
-        )
-        out = out.join(heads, "order_number")
-    if goods:
-        out = out.join(_products(spark, sf_dir).select("product_key", *goods), "product_key")
+    days = _calendar(F.col("o_orderdate"))
+    customers = _customers(spark, sf_dir, people)
+    heads = table(spark, sf_dir, "orders")
+    heads = heads.join(customers, F.col("o_custkey") == F.col("customer_key"), "inner" if people else "left_semi")
+    heads = heads.select(F.col("o_orderkey").alias("order_number"), *[days[c].alias(c) for c in dates], *people)
+    out = out.join(heads, "order_number", "inner" if dates or people else "left_semi")
+    out = out.join(_products(spark, sf_dir).select("product_key", *goods), "product_key", "inner" if goods else "left_semi")
     return out.select(*wanted)
 
 
