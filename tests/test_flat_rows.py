@@ -9,9 +9,9 @@ from saleswh.plans.tables import sales_flat, sales_star
 
 def test_same_rows_with_orphans(spark, tmp_path):
     for name in ("region", "nation", "customer", "orders", "part", "lineitem"):
-        shutil.copy(f"{SF}/{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(f"{SF}/{name}.parquet", tmp_path / f"{name}.parquet")
     spark.read.parquet(f"{SF}/part.parquet").filter("p_partkey % 7 != 0").write.parquet(str(tmp_path / "p"))
-    shutil.copy(next((tmp_path / "p").glob("*.parquet")), tmp_path / "part.parquet")
+    shutil.copyfile(next((tmp_path / "p").glob("*.parquet")), tmp_path / "part.parquet")
     sf = str(tmp_path)
     wide = sales_flat(spark, sf).count()
     assert 0 < wide < spark.read.parquet(f"{sf}/lineitem.parquet").count()
