@@ -155,6 +155,45 @@ def publish_orders(spark, d):
     return read_latest(spark, base)
 
 
+BUCKETED_SQL = """SELECT order_id, order_date, customer_id, customer_name, customer_city, product_id, product_name,
+                CAST(product_price AS DOUBLE) AS product_price,
+                CASE WHEN order_date >= TIMESTAMP '1998-01-01 00:00:00' THEN CAST(amount AS DOUBLE) + 2
+                     ELSE CAST(amount AS DOUBLE) END AS amount,
+                CASE WHEN order_date < TIMESTAMP '1999-01-01 00:00:00' THEN 'checked' END AS note
+         FROM as_of"""
+
+
+@query(AS_OF + BUCKETED_SQL)
+def upsert_bucketed(spark, d):
+    """A bucketed collection: documents before 1999, then a batch that sends each document from 1998 on twice, the later one last."""
+    docs = stage(documents.to_document(_as_of(spark, d)), "documents")
+    held = documents.Collection(new_path(spark, "orders_bucketed"), "order_id", 8)
+    held.upsert(docs.filter(F.col("order_date") < F.lit("1999-01-01")).withColumn("note", F.lit("checked")))
+    late = docs.filter(F.col("order_date") >= F.lit("1998-01-01"))
+    twice = late.withColumn("nth", F.explode(F.array(F.lit(2), F.lit(1)))).withColumn("amount", F.col("amount") + F.col("nth"))
+    held.upsert(twice, last_by="nth")
+    return held.read(spark).drop("nth")
+
+
+@query(
+    AS_OF + SUMMARY_SQL.replace("FROM as_of", "")
+    + """, CASE WHEN customer_city <> 'CITY_3' THEN strftime(order_date, '%m') END AS month,
+         CASE WHEN order_date < TIMESTAMP '1997-01-01 00:00:00' THEN 1 ELSE 2 END AS batch FROM as_of
+         WHERE order_date < TIMESTAMP '1997-01-01 00:00:00' OR month(order_date) IN (1, 2)"""
+)
+def upsert_partitions(spark, d):
+    """Documents laid out by month ("01" stays text, some without a month); a second batch touches two months."""
+    base = new_path(spark, "orders_by_month")
+    month = F.when(F.col("customer_city") != "CITY_3", F.date_format("order_date", "MM"))
+    docs = documents.to_document(_as_of(spark, d)).withColumn("month", month)
+    docs = stage(docs, "documents")
+    first = F.col("order_date") < F.lit("1997-01-01")
+    documents.upsert_partitions(docs.filter(first).withColumn("batch", F.lit(1)), base, "order_id", "month")
+    new = docs.filter(~first & F.month("order_date").isin(1, 2)).withColumn("batch", F.lit(2))
+    documents.upsert_partitions(new, base, "order_id", "month")
+    return spark.read.schema(new.schema).parquet(base)
+
+
 # --- type 2 dimensions
 
 PRIORITY = with_(PRIORITY_VERSIONS)
@@ -229,6 +268,19 @@ def scd2_late(spark, d):
     return scd2.split_late(dim, tables.priority_changes(spark, d), "customer_id")[1]
 
 
+@query(
+    "SELECT o_custkey AS customer_id, CASE WHEN o_orderkey % 5 > 0 THEN o_orderdate END AS changed_at, "
+    "o_orderpriority AS priority, o_orderkey AS change_no, "
+    "o_orderkey % 5 = 0 OR o_orderdate <= TIMESTAMP '1995-01-01 00:00:00' AS late FROM orders"
+)
+def scd2_split(spark, d):
+    """All changes, a fifth of them without a time, as accepted or late: none is lost."""
+    changes = tables.priority_changes(spark, d)
+    changes = changes.withColumn("changed_at", F.when(F.col("change_no") % 5 > 0, F.col("changed_at")))
+    accepted, late = scd2.split_late(tables.priority_dimension(spark, d), changes, "customer_id")
+    return accepted.withColumn("late", F.lit(False)).unionAll(late.withColumn("late", F.lit(True)))
+
+
 @query(
     "SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_orderpriority, o_orderkey) AS o_orderpriority "
     "FROM orders GROUP BY o_custkey"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +13,21 @@ from saleswh.storage import file_system
 
 
 def write_once(df: DataFrame, path: str) -> DataFrame:
-    """Write Parquet unless the path exists already; returns the dataset at the path."""
-    df.write.mode("ignore").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write Parquet unless a complete dataset is there already; returns the dataset at the path.
+
+    A dataset counts as complete with its success marker. A folder that a crashed job left without one is written anew; one
+    that holds anything but Spark's part files is an error, so nothing foreign is ever replaced.
+    """
+    spark = df.sparkSession
+    fs, folder = file_system(spark, path)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    if not fs.exists(marker):
+        if fs.exists(folder):
+            names = [s.getPath().getName() for s in fs.listStatus(folder)]
+            if strange := [n for n in names if not n.startswith(("part-", "_temporary", ".part-", "._")) and "=" not in n]:
+                raise ValueError(f"{path} has no success marker and holds {strange[:3]}")
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scaled_path(base: str, scale: int) -> str:
@@ -69,8 +81,8 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def publish_version(df: DataFrame, base: str) -> str:
-    """Write a new version directory under ``base`` and return its path.
+def publish_version(df: DataFrame, base: str, write: Callable[[DataFrame, str], None] | None = None) -> str:
+    """Write a new version directory under ``base`` and return its path. ``write`` (df, path) replaces plain Parquet.
 
     The dataset being read is never overwritten; a version counts once its
     success marker is there, so a failed job leaves the previous version valid.
@@ -79,14 +91,23 @@ def publish_version(df: DataFrame, base: str) -> str:
     last = _versions(spark, base)
     number = int(last[-1].rsplit("/v", 1)[1].split("-")[0]) + 1 if last else 1
     path = f"{base.rstrip('/')}/v{number:08d}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
+    if write:
+        write(df, path)
+    else:
+        df.write.parquet(path)
     return path
 
 
+def latest_path(spark: SparkSession, base: str) -> str | None:
+    """The path of the newest complete version under ``base``."""
+    found = _versions(spark, base)
+    return found[-1] if found else None
+
+
 def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
     """The newest complete version under ``base``; None when there is none."""
-    found = _versions(spark, base)
-    return spark.read.parquet(found[-1]) if found else None
+    found = latest_path(spark, base)
+    return spark.read.parquet(found) if found else None
 
 
 def _versions(spark: SparkSession, base: str) -> list[str]:
