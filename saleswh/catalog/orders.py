@@ -42,6 +42,12 @@ def as_of_orders_sweep(spark, d):
     return _as_of(spark, d, method="sweep")
 
 
+@query(AS_OF + "SELECT * FROM as_of")
+def as_of_orders_array(spark, d):
+    """Both dimensions by binary search in sorted version arrays."""
+    return _as_of(spark, d, method="array")
+
+
 @query(AS_OF + "SELECT order_id, order_date, customer_id, customer_city, product_id, product_price, amount "
        "FROM as_of ORDER BY order_id")
 def as_of_orders_short(spark, d):

@@ -40,8 +40,8 @@ def lookup_join(
     hot = hot if hot is not None else hot_keys(rows, keys)
     flags = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
     part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts))
-    dealt = rows.join(flags, keys, "left").select(*rows.columns, F.when(F.col("_hot"), part).otherwise(F.lit(0)).alias("_salt"))
+    dealt = rows.join(flags, keys, "left").select(*rows.columns, F.when(F.col("_hot"), part).otherwise(F.lit(0)).cast("int").alias("_salt"))
     every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copies = single.join(flags, keys, "left").select(*single.columns, F.explode(every).cast("bigint").alias("_salt"))
+    copies = single.join(flags, keys, "left").select(*single.columns, F.explode(every).alias("_salt"))
     added = [c for c in single.columns if c not in keys]
     return dealt.join(copies, [*keys, "_salt"], how).select(*rows.columns, *added)

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -5,8 +6,9 @@ import pytest
 from conftest import at, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from saleswh.operators.asof import as_of_join, as_of_orders, as_of_orders_short
+from saleswh.operators.asof import History, as_of_join, as_of_lookup, as_of_orders, as_of_orders_short
 from saleswh.schemas import SCHEMAS
 
 GOLDEN = [
@@ -18,7 +20,7 @@ GOLDEN = [
 ]
 
 
-@pytest.mark.parametrize("options", [{}, {"method": "sweep"}, {"method": "sweep", "hot_rows": 0}])
+@pytest.mark.parametrize("options", [{}, {"method": "sweep"}, {"method": "sweep", "hot_rows": 0}, {"method": "array"}])
 def test_golden_view(timeline, options):
     view = as_of_orders(timeline.orders, timeline.customers, timeline.products, **options)
     assert view.columns == SCHEMAS["orders_summary"].names
@@ -32,7 +34,7 @@ def test_short_form(timeline):
     assert [r.order_id for r in short.collect()] == ["O1", "O2", "O3", "O4"]
 
 
-@pytest.mark.parametrize("options", [{}, {"method": "sweep"}, {"method": "sweep", "hot_rows": 0}])
+@pytest.mark.parametrize("options", [{}, {"method": "sweep"}, {"method": "sweep", "hot_rows": 0}, {"method": "array"}])
 def test_unmatched_orders(spark, timeline, options):
     """Before the first version, or without any: gone from the inner join, nulls in the left join."""
     odd = spark.createDataFrame(
@@ -56,7 +58,7 @@ def test_gap_between_versions(spark):
     )
     fact = spark.createDataFrame([(1, at(m)) for m in (0, 4, 5, 7, 10, 11)], "k int, t timestamp")
     want = [(1, at(0), "a"), (1, at(4), "a"), (1, at(10), "b"), (1, at(11), "b")]
-    for options in ({}, {"method": "sweep"}, {"method": "sweep", "hot_rows": 0, "slice_units": ("minute", "second")}):
+    for options in ({}, {"method": "sweep"}, {"method": "sweep", "hot_rows": 0, "slice_units": ("minute", "second")}, {"method": "array"}):
         assert rows(as_of_join(fact, dim, "k", "t", {"v": "v"}, **options)) == sorted(want, key=repr)
 
 
@@ -91,3 +93,68 @@ def test_both_forms_agree_with_brute_force(spark, starts, facts):
     for options in ({}, {"method": "sweep"}, {"method": "sweep", "hot_rows": 4}):
         got = as_of_join(fact, dim, "k", "t", {"v": "v"}, **options).select("i", "v")
         assert sorted(tuple(r) for r in got.collect()) == want
+
+
+MINUTES = "k int, v string, valid_from timestamp, valid_to timestamp"
+
+
+def _random_case(spark, seed, keys, versions, facts):
+    """Versions that do not overlap, some empty, and facts around them; key 1 holds a third of both."""
+    rng = random.Random(seed)
+    dim, fact = [], []
+    for k in range(keys):
+        cuts = sorted(rng.sample(range(0, 50_000), versions * (10 if k == 1 else 1)))
+        for a, b in zip(cuts, [*cuts[1:], None]):
+            end = None if b is None else min(b, a + rng.choice([0, 5, 100_000]))
+            dim.append((k, f"{k}/{a}", at(0) + timedelta(seconds=a), None if end is None else at(0) + timedelta(seconds=end)))
+    for i in range(facts):
+        k = 1 if i % 3 == 0 else rng.randrange(keys + 1)
+        fact.append((i, k if i % 50 else None, None if i % 70 == 0 else at(0) + timedelta(seconds=rng.randrange(-9, 50_009))))
+    dim.append((None, "no key", at(0), None))
+    dim.append((2, "no start", None, None))
+    return spark.createDataFrame(dim, MINUTES), spark.createDataFrame(fact, "i int, k int, t timestamp")
+
+
+@pytest.mark.parametrize("most", [1, 4, 30, 4096])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_arrays_like_the_join(spark, most, how):
+    dim, fact = _random_case(spark, most, 6, 8, 400)
+    want = rows(as_of_join(fact, dim, "k", "t", {"v": "v", "since": "valid_from"}, how=how))
+    got = as_of_lookup(fact, [History(dim, "k", {"v": "v", "since": "valid_from"})], "t", how, most)
+    assert rows(got) == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_two_dimensions_at_once(spark, how):
+    """Keys of different types, null keys, and facts that repeat a combination."""
+    one, fact = _random_case(spark, 7, 5, 6, 300)
+    two, _ = _random_case(spark, 8, 5, 6, 0)
+    two = two.select(F.concat(F.lit("K"), "k").alias("code"), "v", "valid_from", "valid_to")
+    fact = fact.withColumn("code", F.when(F.col("i") % 11 > 0, F.concat(F.lit("K"), (F.col("i") % 6).cast("string")))).drop("i")
+    fact = fact.unionAll(fact)
+    chain = as_of_join(as_of_join(fact, one, "k", "t", {"a": "v"}, how=how), two, "code", "t", {"b": "v"}, how=how)
+    got = as_of_lookup(fact, [History(one, "k", {"a": "v"}), History(two, "code", {"b": "v"})], "t", how, most=16)
+    assert rows(got) == rows(chain)
+
+
+def test_facts_are_shuffled_once(spark, timeline):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        view = as_of_orders(timeline.orders, timeline.customers, timeline.products, method="array")
+        plan = view._jdf.queryExecution().executedPlan()
+        assert rows(view) == GOLDEN
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in _exchanged(plan) if "amount" in line]
+    assert len(moved) == 1
+
+
+def _exchanged(plan):
+    """The output columns of every shuffle of a plan."""
+    found, todo = [], [plan.initialPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            found.append(node.output().toString())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
