@@ -23,8 +23,10 @@ from saleswh.functions import (
     share_count,
     weekday_place,
 )
-from saleswh.operators.keys import number_rows, running_total
+from saleswh.operators.keys import number_rows
 from saleswh.operators.relational import previous_period, top_k
+from saleswh.operators.selection import bracket, select_ranks
+from saleswh.storage import stage
 
 ALL = "All"
 
@@ -171,28 +173,26 @@ def avg_price_by_product_line(flat: DataFrame) -> DataFrame:
 def sales_stats(flat: DataFrame) -> DataFrame:
     """Mean, exact median, sample standard deviation, minimum and maximum of line sales.
 
-    Rows are reduced to one per distinct amount, all five come from those counts, so no
-    task holds the amounts of the whole table.
+    One pass gives all but the median, and with a sketch the two amounts that enclose it; counts of amount ranges then find
+    it (see select_ranks). Each pass reads the one column and shuffles a row per task and range.
     """
-    amounts = flat.filter(F.col("sales").isNotNull()).groupBy("sales").agg(F.count("*").alias("_n"))
-    placed = running_total(amounts, ["sales"], "_n", "_upto")
-    weighted = (F.col("sales") * F.col("_n")).cast("decimal(38,2)")
-    totals = placed.agg(F.struct(F.sum("_n").alias("n"), F.sum(weighted).cast("double").alias("s")).alias("t"))
-    total = totals.scalar()
-    n, mean = total["n"], F.when(total["n"] > 0, total["s"] / total["n"])
-
-    def at(position):
-        """The amount at a 0-based position of the sorted lines."""
-        inside = (F.col("_upto") - F.col("_n") <= position) & (position < F.col("_upto"))
-        return F.max(F.when(inside, F.col("sales").cast("double")))
-
-    spread = F.sum(F.col("_n") * F.pow(F.col("sales").cast("double") - mean, F.lit(2.0)))
-    return placed.agg(
-        F.max(mean).alias("mean"),
-        ((at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2).alias("median"),
-        F.sqrt(F.when(F.max(n) > 1, spread / (F.max(n) - 1))).alias("std_dev"),
-        F.min("sales").alias("min"),
-        F.max("sales").alias("max"),
+    amounts = flat.filter(F.col("sales").isNotNull()).select("sales")
+    low, high = bracket("sales", 0.5)
+    value = F.col("sales").cast("double")
+    total = amounts.agg(
+        F.count("*").alias("n"), F.sum("sales").alias("sum"), F.stddev_samp(value).alias("std_dev"),
+        F.min("sales").alias("min"), F.max("sales").alias("max"), low.alias("low"), high.alias("high"),
+    ).collect()[0]
+    median = None
+    if total.n:
+        middle = sorted({(total.n - 1) // 2, total.n // 2})
+        found = [float(v) for v, _ in select_ranks(amounts, middle, total.low, total.high)]
+        median = sum(found) / len(found)
+    mean = float(total.sum) / total.n if total.n else None
+    kind = flat.schema["sales"].dataType.simpleString()
+    return flat.sparkSession.createDataFrame(
+        [(mean, median, total.std_dev, total.min, total.max)],
+        f"mean double, median double, std_dev double, min {kind}, max {kind}",
     )
 
 
@@ -279,12 +279,28 @@ def top_fraction(totals: DataFrame, key: str, value: str, fraction: float) -> Da
 
 
 def revenue_concentration(flat: DataFrame, fraction: float = 0.2) -> DataFrame:
-    """Share of revenue from the top customers: the given fraction of them, rounded down."""
+    """Share of revenue from the top customers: the given fraction of them, rounded down.
+
+    Nobody is ranked: the total at the last top rank is selected, larger totals are summed, and of the customers who have just
+    that total as many count as are still wanted, whoever they are.
+    """
     totals = flat.groupBy("customer_name").agg(F.sum("sales").alias("total"))
-    ranked = top_fraction(totals, "customer_name", "total", fraction)
-    return ranked.agg(
-        F.count_if("in_top").alias("top_customers"),
-        pct(F.sum(F.when(F.col("in_top"), F.col("total")).otherwise(F.lit(0))), F.sum("total")).alias(
-            "concentration_pct"
-        ),
+    totals = stage(totals, "customer-totals")  # one row per customer, read a few times
+    named = totals.filter(F.col("customer_name").isNotNull()).select("total")
+    low, high = bracket("total", 1 - fraction)
+    seen = totals.agg(
+        F.count("customer_name").alias("keys"), F.sum("total").alias("whole"),
+        F.count(F.when(F.col("customer_name").isNotNull(), F.col("total"))).alias("amounts"),
+    ).collect()[0]
+    wanted = totals.sparkSession.range(1).select(share_count(F.lit(seen.keys), fraction)).collect()[0][0]
+    k = min(wanted, seen.amounts)  # totals of null come last and add nothing
+    top = F.lit(0)
+    if k:
+        ends = named.agg(low.alias("low"), high.alias("high")).collect()[0]
+        rank = seen.amounts - k
+        ((last, _),) = select_ranks(named, [rank], ends.low, ends.high)
+        above = named.filter(F.col("total") > F.lit(last)).agg(F.count("*").alias("n"), F.sum("total").alias("s")).collect()[0]
+        top = F.lit((above.s or 0) + (k - above.n) * last)
+    return totals.sparkSession.range(1).select(
+        F.lit(wanted).cast("bigint").alias("top_customers"), pct(top, F.lit(seen.whole)).alias("concentration_pct")
     )
