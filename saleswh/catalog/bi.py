@@ -7,6 +7,7 @@ from saleswh.catalog.sql import FLAT, with_
 from saleswh.operators import relational
 from saleswh.plans import bi
 from saleswh.plans.tables import sales_flat
+from saleswh.storage import stage
 
 FLAT_SQL = with_(FLAT)
 KPI_SQL = """SELECT CAST(coalesce(sum(sales), 0) AS DECIMAL(22,2)) AS total_revenue,
@@ -48,6 +49,24 @@ def filtered_kpis(spark, d):
     return _rounded(bi.kpis(chosen))
 
 
+@query(
+    FLAT_SQL + "SELECT CAST(coalesce(sum(sales), 0) AS DECIMAL(22,2)) AS total_revenue, "
+    "CAST(coalesce(sum(quantity_ordered), 0) AS BIGINT) AS total_quantity, "
+    "TRUE AS orders_close, TRUE AS customers_close, TRUE AS products_close FROM flat" + FILTER_SQL
+)
+def kpis_from_cube(spark, d):
+    """Filtered KPIs from the written cube; its estimates must lie within 3 % of the exact counts."""
+    flat = sales_flat(spark, d, FILTER_COLUMNS)
+    chosen = ("1996-01-01", "1999-06-30", "ECONOMY", "NATION_3", "Medium")
+    got = bi.cube_kpis(bi.filter_sales(stage(bi.kpi_cube(flat), "kpi-cube"), *chosen))
+    exact = bi.kpis(bi.filter_sales(flat, *chosen))
+    pairs = {"orders_close": "total_orders", "customers_close": "unique_customers", "products_close": "unique_products"}
+    close = [
+        (F.abs(F.col(c) - exact.select(c).scalar()) <= 0.03 * exact.select(c).scalar()).alias(name) for name, c in pairs.items()
+    ]
+    return got.select("total_revenue", "total_quantity", *close)
+
+
 @query(FLAT_SQL + KPI_SQL + " WHERE country = 'NOWHERE'")
 def empty_kpis(spark, d):
     flat = sales_flat(spark, d, [*KPI_COLUMNS, "country"])

@@ -19,6 +19,7 @@ SLICES = 1024
 FEW = 20_000
 #: The sketch's error is about 1/ACCURACY of the rows.
 ACCURACY = 10_000
+HUGE = 8e307
 
 
 def bracket(value: str | Column, fraction: float, accuracy: int = ACCURACY) -> tuple[Column, Column]:
@@ -68,9 +69,13 @@ def _values(rows: DataFrame, v: Column, low, high, few: int) -> list[Row]:
 
 def _slices(rows: DataFrame, v: Column, low, high, slices: int) -> list[Row]:
     """n, least, most of the rows below, of each slice from low to high that has rows, and of the rows above."""
-    first, last = F.lit(low).cast("double"), F.lit(high).cast("double")
+    def number(c: Column) -> Column:
+        # infinite and very large values share an end, so that differences stay finite
+        return F.least(F.greatest(c.cast("double"), F.lit(-HUGE)), F.lit(HUGE))
+
+    first, last = number(F.lit(low)), number(F.lit(high))
     # a monotone function of the value that sends low to the first slice and high to the last one
-    place = F.floor((v.cast("double") - first) / F.greatest(last - first, F.lit(5e-324)) * slices)
+    place = F.floor((number(v) - first) / F.greatest(last - first, F.lit(5e-324)) * slices)
     place = F.least(F.greatest(place, F.lit(0)), F.lit(slices - 1))
     place = F.when(v == F.lit(low), 0).when(v == F.lit(high), slices - 1).otherwise(place.cast("int"))
     part = F.when(v < F.lit(low), -1).when(v > F.lit(high), slices).otherwise(place)

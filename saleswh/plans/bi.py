@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleswh.functions import (
@@ -61,22 +61,60 @@ def _sales_per(flat: DataFrame, *keys: str) -> DataFrame:
     return present.groupBy(*keys).agg(money_sum("sales").alias("total_sales"))
 
 
-def kpis(flat: DataFrame) -> DataFrame:
-    totals = flat.agg(
-        _zero_if_null(F.sum("sales")).cast(MONEY_SUM).alias("total_revenue"),
-        F.countDistinct("order_number").alias("total_orders"),
-        _zero_if_null(F.sum("quantity_ordered")).cast("bigint").alias("total_quantity"),
-        F.countDistinct("customer_name").alias("unique_customers"),
-        F.countDistinct("product_code").alias("unique_products"),
+def distinct_counts(df: DataFrame, *columns: str) -> list[Column]:
+    """The number of distinct non-null values of each column, as scalars.
+
+    Each is an aggregation of its own in two levels, combined in the tasks, that reads its column only; counted together they would
+    need a copy of every row per column.
+    """
+    return [df.select(c).distinct().agg(F.count(c)).scalar() for c in columns]
+
+
+def _kpi_row(totals: DataFrame, orders, customers, products) -> DataFrame:
+    row = totals.select(
+        _zero_if_null(F.col("sales")).cast(MONEY_SUM).alias("total_revenue"),
+        orders.cast("bigint").alias("total_orders"),
+        _zero_if_null(F.col("quantity")).cast("bigint").alias("total_quantity"),
+        customers.cast("bigint").alias("unique_customers"),
+        products.cast("bigint").alias("unique_products"),
     )
-    return totals.select(
-        "total_revenue",
-        "total_orders",
-        "total_quantity",
+    return row.select(
+        "total_revenue", "total_orders", "total_quantity",
         ratio("total_revenue", "total_orders").alias("avg_order_value"),
-        "unique_customers",
-        "unique_products",
+        "unique_customers", "unique_products",
+    )
+
+
+def kpis(flat: DataFrame) -> DataFrame:
+    totals = flat.agg(F.sum("sales").alias("sales"), F.sum("quantity_ordered").alias("quantity"))
+    return _kpi_row(totals, *distinct_counts(flat, *_COUNTED))
+
+
+_COUNTED = ("order_number", "customer_name", "product_code")
+_CELL = ("order_date", "product_line", "country", "deal_size")
+
+
+def kpi_cube(flat: DataFrame, lg_k: int = 14) -> DataFrame:
+    """Sums and mergeable distinct-count sketches per day, product line, country and deal size.
+
+    Written once, it answers ``cube_kpis`` of any ``filter_sales`` without another scan of the lines. A sketch holds up to 2^lg_k
+    small registers, far fewer for the few values of one cell; its relative error is about 1 / sqrt(2^lg_k).
+    """
+    return flat.groupBy(*_CELL).agg(
+        F.sum("sales").alias("sales"),
+        F.sum("quantity_ordered").alias("quantity"),
+        *[F.hll_sketch_agg(c, lg_k).alias(f"{c}_sketch") for c in _COUNTED],
+    )
+
+
+def cube_kpis(cube: DataFrame) -> DataFrame:
+    """The columns of ``kpis`` from a cube, filtered or not; sums are exact, distinct counts estimated."""
+    merged = cube.agg(
+        F.sum("sales").alias("sales"),
+        F.sum("quantity").alias("quantity"),
+        *[F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")).alias(c) for c in _COUNTED],
     )
+    return _kpi_row(merged, *[_zero_if_null(F.col(c)) for c in _COUNTED])
 
 
 def yoy_growth(flat: DataFrame) -> DataFrame:
@@ -197,12 +235,12 @@ def sales_stats(flat: DataFrame) -> DataFrame:
 
 
 def order_stats(flat: DataFrame) -> DataFrame:
-    return flat.agg(
+    means = flat.agg(
         F.avg(F.col("quantity_ordered").cast("double")).alias("avg_quantity"),
         F.avg(F.col("price_each").cast("double")).alias("avg_price"),
-        F.countDistinct("customer_name").alias("total_customers"),
-        F.countDistinct("product_code").alias("total_products"),
     )
+    customers, products = distinct_counts(flat, "customer_name", "product_code")
+    return means.select("*", customers.alias("total_customers"), products.alias("total_products"))
 
 
 def _best(flat: DataFrame, kinds: Mapping[str, tuple[str, str]]) -> DataFrame:
