@@ -139,3 +139,106 @@ def test_views_answer_sql(spark, built):
         "ON f.customer_key = c.customer_key GROUP BY c.country"
     )
     assert joined.count() == 3
+
+
+def _shuffled(df) -> int:
+    """Bytes that the exchanges of a finished query have written."""
+    df.write.format("noop").mode("overwrite").save()
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        else:
+            if name == "Exchange":
+                total += node.metrics().apply("dataSize").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def _by_natural_keys(flat, built):
+    """The plain way: three joins on all natural columns."""
+    out = flat.withColumn("ORDERDATE", F.to_date("ORDERDATE"))
+    for dim, columns, key in (
+        (built.date, star.DATE_COLUMNS, "date_key"), (built.product, star.PRODUCT_COLUMNS, "product_key"), (built.customer, star.CUSTOMER_COLUMNS, "customer_key")
+    ):
+        side = dim.select(F.col(key), *[F.col(c).alias(f"_d_{c}") for c in columns.values()])
+        same = [out[src].eqNullSafe(F.col(f"_d_{c}")) for src, c in columns.items()]
+        out = out.join(side, same).drop(*[f"_d_{c}" for c in columns.values()])
+    return out.select(*[F.col(src).alias(dst) for src, dst in star.FACT_COLUMNS.items()])
+
+
+@pytest.fixture(scope="module")
+def many(spark, flat, built):
+    """The hand-made rows often, one customer with most of them."""
+    times = F.when(F.col("CUSTOMERNAME") == "Café Rouge", 900).otherwise(200)
+    return flat.withColumn("_n", F.explode(F.sequence(F.lit(1), times))).drop("_n").repartition(4)
+
+
+@pytest.mark.parametrize("covered", [False, True])
+def test_lookup_by_hash(spark, many, built, covered, no_broadcast):
+    got = star.build_fact(many, built.product, built.customer, built.date, covered)
+    assert rows(got) == rows(_by_natural_keys(many, built))
+
+
+def test_hashes_shuffle_less_than_half(spark, many, built, no_broadcast):
+    lean = star.build_fact(many, built.product, built.customer, built.date, covered=True)
+    assert _shuffled(lean) * 2 <= _shuffled(_by_natural_keys(many, built))
+
+
+@pytest.mark.parametrize("covered", [False, True])
+@pytest.mark.parametrize("hashes", [1, 2])
+def test_equal_hashes_are_told_apart(monkeypatch, many, built, covered, hashes):
+    """All natural keys share one hash, or two."""
+    plain = star.tuple_hash
+    monkeypatch.setattr(star, "tuple_hash", lambda columns: F.pmod(plain(columns), F.lit(hashes)))
+    got = star.build_fact(many, built.product, built.customer, built.date, covered)
+    assert rows(got) == rows(_by_natural_keys(many, built))
+
+
+def test_unknown_natural_keys_are_dropped(flat, built):
+    odd = flat.withColumn("PRODUCTCODE", F.when(F.col("ORDERNUMBER") == 3, F.lit("S99")).otherwise(F.col("PRODUCTCODE")))
+    assert star.build_fact(odd, built.product, built.customer, built.date).count() == len(LINES) - 1
+
+
+def test_fact_lies_by_month(spark, built):
+    """A filter on the dates reaches the folders of the fact, and the rows are those of the fact without layout."""
+    from saleswh.plans import bi
+
+    chosen = bi.filter_sales(built.flat(["order_date", "sales"]), "2004-01-01", "2005-01-02")
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "place_year" in plan and "place_month" in plan
+    assert rows(chosen.select("sales")) == [(Decimal("1600.00"),), (Decimal("480.00"),), (Decimal("480.00"),)]
+    bare = star.Star(built.fact, built.product, built.customer, built.date)
+    assert rows(built.flat()) == rows(bare.flat())
+    assert "Join" not in built.flat(["order_number"]).filter("order_number > 0").select("order_number")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_without_a_date_have_a_place(spark, flat):
+    odd = flat.withColumns({c: F.when(F.col("ORDERNUMBER") > 2, F.col(c)) for c in ("ORDERDATE", "YEAR_ID", "MONTH_ID")})
+    star_of_odd = star.run_star_etl(odd, new_path(spark, "odd-star"))
+    assert star_of_odd.flat(["sales", "order_date"]).count() == len(LINES)
+    assert star_of_odd.violations == {"dim_date.order_date:null": 2}  # two quarters
+
+
+def test_violations_come_with_the_write(spark, flat):
+    odd = flat.withColumns({
+        "SALES": F.when(F.col("ORDERNUMBER") == 1, -F.col("SALES")).otherwise(F.col("SALES")),
+        "CITY": F.when(F.col("ORDERNUMBER") == 5, F.repeat(F.lit("x"), 51)).otherwise(F.col("CITY")),
+        "PRODUCTCODE": F.when(F.col("ORDERNUMBER") > 1, F.col("PRODUCTCODE")),
+    })
+    got = star.run_star_etl(odd, new_path(spark, "violations"), by_month=False)
+    assert got.violations == {"dim_product.product_code:null": 3, "dim_customer.city:length>50": 1, "fact_sales.sales:value<0": 2}
+    assert got.placed is None and got.fact.count() == len(LINES)
