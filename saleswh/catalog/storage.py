@@ -75,6 +75,51 @@ def copy_text_round_trip(spark, d):
     return sources.read_copy_text(spark, path, schema)
 
 
+@query(
+    "SELECT p_partkey AS product_id, chr(92) || 'N ' || p_name || chr(9) || 'é' AS name, p_type AS kind FROM part "
+)
+def dump_round_trip(spark, d):
+    r"""One table of a dump with two, its blocks interleaved and written as parts; names hold escapes, a row looks like a header."""
+    path = new_path(spark, "dump")
+    part, customer = table(spark, d, "part"), table(spark, d, "customer")
+    name = F.concat(F.lit(r"\\N "), F.col("p_name"), F.lit(r"\t\303\xa9"))
+    goods = part.select(
+        (F.col("p_partkey") % 2 * 2).alias("block"), F.lit(1).alias("line"),
+        F.concat_ws("\t", "p_type", name, F.col("p_partkey").cast("string")).alias("value"),
+    )
+    people = customer.select(F.lit(1).alias("block"), F.lit(1).alias("line"), F.concat_ws("\t", "c_name", "c_mktsegment").alias("value"))
+    odd, end = "COPY public.products (kind, name, product_id) FROM stdin;", r"\."
+    edges = [
+        (-1, 0, "-- a dump"), (0, 0, odd), (0, 2, end), (1, 0, "COPY public.customers (name, segment) FROM stdin;"), (1, 1, odd), (1, 2, end),
+        (2, 0, odd), (2, 2, end), (3, 0, "left over\tof\t9"),
+    ]
+    lines = goods.unionAll(people).unionAll(spark.createDataFrame(edges, "block int, line int, value string"))
+    lines.repartitionByRange(4, "block", "line", "value").sortWithinPartitions("block", "line", "value").select("value").write.text(path)
+    schema = make_schema(product_id="long", name="string", kind="string")
+    return sources.read_dump(spark, path, "products", schema, joined=True)
+
+
+@query(with_(FLAT) + """SELECT CAST(order_number AS INTEGER) AS ordernumber, sales, CAST(order_date AS TIMESTAMP) AS orderdate,
+    'The "' || customer_name || '", Shop' AS customername, state, product_code AS productcode, msrp AS priceeach,
+    quantity_ordered AS quantityordered, order_line_number AS orderlinenumber, qtr_id, month_id, year_id, product_line AS productline, msrp, country,
+    territory, deal_size AS dealsize, CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS phone, CAST(NULL AS VARCHAR) AS addressline1,
+    CAST(NULL AS VARCHAR) AS addressline2, CAST(NULL AS VARCHAR) AS postalcode, CAST(NULL AS VARCHAR) AS contactlastname,
+    CAST(NULL AS VARCHAR) AS contactfirstname FROM flat""")
+def sales_csv_quoted(spark, d):
+    """All 24 columns of the flat sales file, names with quotes and commas."""
+    path = new_path(spark, "sales-csv-quoted")
+    rows = sales_file(spark, d).withColumns(
+        {
+            "ORDERDATE": F.date_format("ORDERDATE", SALES_FILE_DATE),
+            "CUSTOMERNAME": F.concat(F.lit('The "'), F.col("CUSTOMERNAME"), F.lit('", Shop')),
+            "PRICEEACH": F.col("MSRP"),
+        }
+    )
+    rows.write.option("header", True).option("encoding", "ISO-8859-1").option("nullValue", "NA").option("escape", '"').csv(path)
+    back = sources.read_sales_csv(spark, path)
+    return back.toDF(*[c.lower() for c in back.columns]).withColumn("orderdate", F.col("ORDERDATE").cast("timestamp_ntz"))
+
+
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def parquet_round_trip(spark, d):
     """Orders twice over, written once; a second write to the same path is skipped."""

@@ -69,30 +69,6 @@ def read_sales_csv(
     return raw.select(*[typed(f) for f in schema])
 
 
-def read_copy_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    r"""Tab-delimited dump lines without a header; ``\N`` is null, backslash escapes.
-
-    The end marker ``\.`` of a dump block is dropped; a line with another number of
-    fields than the schema is an error.
-    """
-    lines = spark.read.text(path).filter(F.col("value") != "\\.")
-    fields = F.split("value", "\t", -1)
-    wrong = F.raise_error(F.concat(F.lit("wrong number of fields: "), F.col("value")))
-    checked = lines.select(F.when(F.size(fields) == len(schema), fields).otherwise(wrong).alias("f"))
-    return checked.select(
-        *[_plain_text(F.col("f")[i]).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)]
-    )
-
-
-def _plain_text(c):
-    r"""Undo the dump's escapes, the doubled backslash last; ``\N`` becomes null."""
-    out = c
-    for letter, char in (("t", "\t"), ("n", "\n"), ("r", "\r")):
-        # an escape starts at an odd backslash: any backslashes before it come in pairs
-        out = F.regexp_replace(out, r"(?<!\\)((?:\\\\)*)\\" + letter, "$1" + char)
-    return F.when(c != "\\N", F.replace(out, F.lit("\\\\"), F.lit("\\")))
-
-
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
 
