@@ -1,13 +1,14 @@
 """Sources and sinks: whole tables written to the shared folder and read back."""
 
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from saleswh import sources
 from saleswh.catalog import query
 from saleswh.catalog.sql import FLAT, with_
-from saleswh.functions import SALES_FILE_DATE
+from saleswh.functions import SALES_FILE_DATE, now, set_size, to_mb
 from saleswh.operators.maintain import replicate
 from saleswh.plans import reports
 from saleswh.plans.tables import sales_file, sales_flat, table
@@ -169,9 +170,26 @@ def report_round_trip(spark, d):
     return sources.read_typed_csv(spark, path, make_schema(country="string", total_sales="decimal(22,2)"))
 
 
-@query()
+@query(
+    "SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS rows, TRUE AS has_size, TRUE AS as_listed FROM orders GROUP BY o_orderpriority"
+)
 def storage_size(spark, d):
-    """Files and megabytes of the orders written as Parquet."""
+    """Rows and size of the orders written per priority; files and bytes must be those of a listing of the folder."""
     path = new_path(spark, "sized")
-    sources.write_once(table(spark, d, "orders"), path)
-    return sources.dataset_size_mb(spark, path)
+    table(spark, d, "orders").write.partitionBy("o_orderpriority").parquet(path)
+    parts = sources.storage_footprint(spark, path, ["o_orderpriority"])
+    whole = sources.storage_footprint(spark, path).select("files", F.round(F.col("bytes") / 1048576, 6).alias("mb")).collect()[0]
+    listed = sources.dataset_size_mb(spark, path).select("files", F.round("size_mb", 6).alias("mb")).collect()[0]
+    return parts.select("o_orderpriority", "rows", (F.col("bytes") > 0).alias("has_size"), F.lit(whole == listed).alias("as_listed"))
+
+
+@query("SELECT c_custkey AS id, c_name AS name, TRUE AS clock_runs, 2 AS size, CAST(c_custkey AS DOUBLE) / 1048576 AS mb FROM customer")
+def scalar_helpers(spark, d):
+    """Set size, bytes as megabytes, and the time of the query, which does not lie before the clock's."""
+    rows = table(spark, d, "customer")
+    before = datetime.now(timezone.utc).replace(tzinfo=None)
+    return rows.select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        (now().cast("timestamp_ntz") >= F.lit(before)).alias("clock_runs"),
+        set_size(F.array_distinct(F.array(F.lit("a"), F.lit("b"), F.lit("a")))).alias("size"), to_mb("c_custkey").alias("mb"),
+    )

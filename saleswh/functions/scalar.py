@@ -119,10 +119,6 @@ def now() -> Column:
     return F.current_timestamp()
 
 
-def is_null(col) -> Column:
-    return _c(col).isNull()
-
-
 def money_sum(col) -> Column:
     """Exact sum of a money column."""
     return F.sum(_c(col)).cast(MONEY_SUM)

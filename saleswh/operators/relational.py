@@ -42,10 +42,6 @@ def count_by(df: DataFrame, key: str, name: str = "n") -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias(name))
 
 
-def sum_by(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(value.alias(name))
-
-
 def top_k(df: DataFrame, value: str, key: str, n: int) -> DataFrame:
     """The n rows with the largest value; equal values by key."""
     return df.orderBy(*largest_first(value, key)).limit(n)

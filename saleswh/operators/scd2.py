@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleswh.operators.keys import assign_key, next_key, number_rows
 from saleswh.operators.timeline import HOT_ROWS, SLICE_UNITS, HotSpots, carry, hot_spots, slice_hot
+from saleswh.storage import stage
 
 META = ("id", "valid_from", "valid_to", "is_current")
 
@@ -67,7 +68,9 @@ def scd2_insert(dim: DataFrame, changes: DataFrame, key: str, ts: str = "changed
     attrs = attributes(dim, key)
     given = [a for a in attrs if a in changes.columns]
     change = changes.select(key, F.col(ts).alias("_ts"), *[F.col(a).alias(f"_new_{a}") for a in given])
-    rows = latest_per_key(dim, key, "id").join(change, key).select(
+    # only the history of keys in the batch is grouped
+    touched = dim.join(change.select(key), key, "left_semi")
+    rows = latest_per_key(touched, key, "id").join(change, key).select(
         key,
         *[F.coalesce(f"_new_{a}", a).alias(a) if a in given else F.col(a) for a in attrs],
         F.col("_ts").cast(dim.schema["valid_from"].dataType).alias("valid_from"),
@@ -108,59 +111,98 @@ def scd2_apply(
     * late changes (see split_late) are left out, so applying a batch twice changes nothing;
     * a key without a current version starts a new history.
 
-    Closed versions and untouched keys pass through unsorted. Only touched keys are
-    ordered, and keys with more than ``hot_rows`` changes are cut into time slices.
+    Open versions and changes meet in one shuffle by key, and everything else is windows over that partitioning. Keys
+    with more than ``hot_rows`` changes are cut into time slices instead. Closed versions pass through untouched; only new
+    versions are sorted, for their ids.
     """
     attrs = attributes(dim, key)
     given = [a for a in attrs if a in changes.columns]
     tracked = list(tracked or given)
-    types = dict(dim.dtypes)
+    spots = hot_spots(changes, key, ts, hot_rows, slice_units)
+    names = [c for c in dict.fromkeys([key, ts, *given, *([tiebreak] if tiebreak else [])])]
+    changes, current = changes.select(*names), scd2_current(dim)
+    if spots.keys.isEmpty():
+        versions = _versions_by_window(current, changes, key, attrs, given, tracked, ts, tiebreak)
+    else:
+        hot = F.broadcast(spots.keys)
+        rest = [df.join(hot, key, "left_anti") for df in (current, changes)]
+        some = [df.join(hot, key, "left_semi") for df in (current, changes)]
+        versions = _versions_by_window(*rest, key, attrs, given, tracked, ts, tiebreak).unionByName(
+            _versions_by_slice(*some, key, attrs, given, tracked, ts, tiebreak, spots)
+        )
+    versions = stage(versions, "versions")
+    new = number_rows(versions.filter("id IS NULL").drop("id"), ["valid_from", key], "id", next_key(dim, "id"))
+    closed = dim.filter("NOT is_current")
+    return closed.unionByName(versions.filter("id IS NOT NULL").select(*dim.columns)).unionByName(new.select(*dim.columns))
+
+
+def _same_as_before(tracked: Sequence[str]) -> Column:
+    """Whether a change leaves all tracked attributes as they were (``_prev_``)."""
+    same = F.lit(True)
+    for a in tracked:
+        same = same & F.coalesce(F.col(a), F.col(f"_prev_{a}")).eqNullSafe(F.col(f"_prev_{a}"))
+    return same
+
+
+def _last_given(a: str, tiebreak: str | None) -> Column:
+    """The value of an attribute that counts among changes of one key at one instant."""
+    return F.max_by(a, F.when(F.col(a).isNotNull(), F.col(tiebreak or a)))
+
 
-    touched = changes.select(key).distinct()
-    current = scd2_current(dim)
-    untouched = current.join(touched, key, "left_anti")
-    open_rows = current.join(touched, key, "left_semi")
+def _finished(versions: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
+    return versions.select(
+        "id", key, *attrs, F.col("_ts").alias("valid_from"), F.col("_next").alias("valid_to"), F.col("_next").isNull().alias("is_current")
+    )
+
+
+def _versions_by_window(current, changes, key, attrs, given, tracked, ts, tiebreak) -> DataFrame:
+    """Open rows and their accepted changes as versions: one shuffle by key."""
+    types = dict(current.dtypes)
+    same_order = tiebreak is None or tiebreak in attrs
+    batch = changes.select(
+        key, F.col(ts).cast(types["valid_from"]).alias("_ts"), *[F.col(a).cast(types[a]).alias(a) for a in given],
+        *([] if same_order else [F.col(tiebreak).alias("_order")]),
+    )
+    order = (tiebreak if same_order else "_order")
+    opened = current.select("id", key, F.col("valid_from").alias("_ts"), *attrs)
+    line = opened.unionByName(batch, allowMissingColumns=True)
+    whole = Window.partitionBy(key)
+    since = F.max(F.when(F.col("id").isNotNull(), F.col("_ts"))).over(whole)
+    line = line.withColumn("_since", since)
+    # the open row, and changes after its start; without one, all that have a time
+    line = line.filter(F.col("id").isNotNull() | (F.col("_ts").isNotNull() & (F.col("_since").isNull() | (F.col("_ts") > F.col("_since")))))
+    instant = Window.partitionBy(key, "_ts")
+    line = line.withColumns({f"_at_{a}": _last_given(a, order).over(instant) for a in given})
+    first = F.row_number().over(instant.orderBy(F.col("id").asc_nulls_last()))
+    line = line.withColumn("_nth", first).filter("_nth = 1")
+    line = line.withColumns({a: F.when(F.col("id").isNull(), F.col(f"_at_{a}")).otherwise(F.col(a)) for a in given})
+    earlier = Window.partitionBy(key).orderBy("_ts").rowsBetween(Window.unboundedPreceding, -1)
+    line = line.withColumns({f"_prev_{a}": F.last(a, ignorenulls=True).over(earlier) for a in attrs} | {"_known": F.count("*").over(earlier)})
+    kept = line.filter(F.col("id").isNotNull() | (F.col("_known") == 0) | ~_same_as_before(tracked)).select(
+        "id", key, "_ts", *[F.coalesce(a, f"_prev_{a}").alias(a) for a in attrs]
+    )
+    return _finished(kept.withColumn("_next", F.lead("_ts").over(whole.orderBy("_ts"))), key, attrs)
 
-    # collapsed by key and time first, so that a key with many changes is spread over tasks
+
+def _versions_by_slice(current, changes, key, attrs, given, tracked, ts, tiebreak, spots: HotSpots) -> DataFrame:
+    """The same for hot keys, whose changes are collapsed by time first and handed on from slice to slice."""
+    types = dict(current.dtypes)
     batch = changes.groupBy(key, F.col(ts).cast(types["valid_from"]).alias("_ts")).agg(
-        *[
-            F.max_by(a, F.when(F.col(a).isNotNull(), F.col(tiebreak or a))).cast(types[a]).alias(a)
-            for a in given
-        ]
+        *[_last_given(a, tiebreak).cast(types[a]).alias(a) for a in given]
     )
-    accepted, _ = split_late(dim, batch, key, "_ts")
+    accepted, _ = split_late(current, batch, key, "_ts")
     rows = (
-        open_rows.select("id", key, F.col("valid_from").alias("_ts"), *attrs)
+        current.select("id", key, F.col("valid_from").alias("_ts"), *attrs)
         .unionByName(accepted, allowMissingColumns=True)
         .withColumn("_seen", F.lit(True))
     )
-    rows = slice_hot(rows, key, "_ts", hot_spots(changes, key, ts, hot_rows, slice_units))
-
+    rows = slice_hot(rows, key, "_ts", spots)
     before = {f"_prev_{a}": a for a in attrs}
     states = carry(rows, key, ["_ts"], {**before, "_known": "_seen"})
-    same = F.lit(True)
-    for a in tracked:
-        same = same & F.coalesce(F.col(a), F.col(f"_prev_{a}")).eqNullSafe(F.col(f"_prev_{a}"))
-    kept = states.filter(F.col("id").isNotNull() | F.col("_known").isNull() | ~same).select(
+    kept = states.filter(F.col("id").isNotNull() | F.col("_known").isNull() | ~_same_as_before(tracked)).select(
         "id", key, "_ts", "_slice", *[F.coalesce(a, f"_prev_{a}").alias(a) for a in attrs]
     )
-    closed_at = carry(kept, key, ["_ts"], {"_next": "_ts"}, backward=True)
-
-    versions = closed_at.select(
-        "id",
-        key,
-        *attrs,
-        F.col("_ts").alias("valid_from"),
-        F.col("_next").alias("valid_to"),
-        F.col("_next").isNull().alias("is_current"),
-        F.col("id").isNull().alias("_is_new"),
-    )
-    # open rows sort first, so new versions get consecutive ids after the highest one
-    placed = number_rows(versions, ["_is_new", "valid_from", key], "_no")
-    opened = placed.agg(F.count("id").alias("opened")).scalar()
-    new_id = next_key(dim, "id") + F.col("_no") - opened - 1
-    renewed = placed.withColumn("id", F.coalesce("id", new_id)).select(*dim.columns)
-    return dim.filter("NOT is_current").unionByName(untouched).unionByName(renewed)
+    return _finished(carry(kept, key, ["_ts"], {"_next": "_ts"}, backward=True), key, attrs)
 
 
 def history_from_log(

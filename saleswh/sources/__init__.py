@@ -9,6 +9,7 @@ from saleswh.sources.readers import (
     read_scaled,
     read_table,
     read_typed_csv,
+    storage_footprint,
     table_options,
 )
 from saleswh.sources.writers import (
@@ -30,5 +31,5 @@ from saleswh.sources.writers import (
 __all__ = [
     "MISSING_TOKENS", "append_jdbc", "append_table", "create_view", "ctas", "dataset_size_mb", "drop_view", "inline_rows", "latest_path",
     "prepare", "prescale", "publish_version", "read_copy_text", "read_csv_inferred", "read_dump", "read_latest", "read_products",
-    "read_sales_csv", "read_scaled", "read_table", "read_typed_csv", "scaled_path", "table_options", "write_once", "write_report",
+    "read_sales_csv", "read_scaled", "read_table", "read_typed_csv", "scaled_path", "storage_footprint", "table_options", "write_once", "write_report",
 ]

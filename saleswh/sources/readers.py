@@ -126,3 +126,15 @@ def dataset_size_mb(spark: SparkSession, path: str) -> DataFrame:
     return files.agg(
         F.count("*").alias("files"), to_mb(F.coalesce(F.sum("length"), F.lit(0))).alias("size_mb")
     )
+
+
+def storage_footprint(spark: SparkSession, path: str, by: Sequence[str] = ()) -> DataFrame:
+    """Files, rows and bytes of a Parquet dataset, in all or per partition column; no row for a dataset without files.
+
+    Sizes come with the files' metadata and rows are counted from their footers: no column but the partition's is read.
+    """
+    files = spark.read.parquet(path).groupBy(*by, F.col("_metadata.file_path").alias("_file")).agg(
+        F.count("*").alias("_rows"), F.max("_metadata.file_size").alias("_bytes")
+    )
+    sums = files.groupBy(*by).agg(F.count("*").alias("files"), F.sum("_rows").alias("rows"), F.sum("_bytes").alias("bytes"))
+    return sums.filter("files > 0")

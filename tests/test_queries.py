@@ -36,8 +36,8 @@ def test_query(spark, con, name):
         assert len(df.collect()) > 0
 
 
-def test_only_the_storage_size_has_no_check_sql():
-    assert set(QUERIES) - set(ORACLES) == {"storage_size"}
+def test_every_query_has_check_sql():
+    assert set(QUERIES) == set(ORACLES)
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) <= set(entry_point.queries()) and ORACLES.items() <= entry_point.oracle_sql().items()
 

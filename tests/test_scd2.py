@@ -169,3 +169,19 @@ def test_history_from_log(spark):
         got = scd2.history_from_log(log, "k", "ts", ["v"], **options)
         minutes = rows(got.select("k", "v", F.minute("valid_from"), F.minute("valid_to")))
         assert minutes == sorted(want, key=repr)
+
+
+def test_a_batch_is_shuffled_once(spark, monkeypatch):
+    """Open versions and changes meet in one exchange by key; all windows use it."""
+    seen = []
+    plain = scd2.stage
+    monkeypatch.setattr(scd2, "stage", lambda df, label: seen.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, label))
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    dim = scd2.scd2_init(spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], "k string, v string, w int"), "k", start)
+    changes = spark.createDataFrame(
+        [("a", "p", datetime(2024, 2, 1), 1), ("a", "q", datetime(2024, 2, 1), 2), ("c", "r", datetime(2024, 3, 1), 1)],
+        "k string, v string, changed_at timestamp, no int",
+    )
+    got = scd2.scd2_apply(dim, changes, "k", tiebreak="no")
+    assert sorted((r.k, r.v, r.w, r.is_current) for r in got.collect() if r.k != "c") == [("a", "q", 1, True), ("a", "x", 1, False), ("b", "y", 2, True)]
+    assert len(seen) == 1 and seen[0].count("Exchange") == 1

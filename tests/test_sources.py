@@ -138,3 +138,10 @@ def test_stage_reads_back_the_same(spark):
     df = spark.createDataFrame([(1, Decimal("1.50"), None)], "i int, d decimal(12,2), s string")
     staged = stage(df)
     assert staged.schema == df.schema and rows(staged) == rows(df)
+
+
+def test_report_keeps_the_order_of_the_frame(spark, tmp_path):
+    frame = spark.range(0, 1000, 1, 8).selectExpr("id * 7919 % 1000 AS n").orderBy(F.col("n").desc())
+    sources.write_report(frame, str(tmp_path / "r"))
+    (file,) = (tmp_path / "r").glob("*.csv")
+    assert file.read_text().split() == ["n", *map(str, range(999, -1, -1))]
