@@ -6,8 +6,9 @@ symmetric difference has shingles. A Jaccard similarity of at least t bounds the
 symmetric difference of sizes a and b by (1 - t) / (1 + t) * (a + b). Sizes are
 cut into bands; for pairs whose smaller set lies in a band this bound is at most D, and with
 P > D words some words must be equal (pigeonhole). A set enters its own band and those lower ones in which
-a partner may lie. Words that no shingle fell into say nothing and are left out,
-unless a set has so many of them (P - D or more) that they could be all that agrees.
+a partner may lie. Words that no shingle fell into say nothing and are never used: there are so many more than D words
+that of those that agree some are filled (see slack). The few sets whose words are empty beyond that are also
+found by an exact prefix index: of any two linked sets the shingles with the smallest hashes, a fifth and one, have one in common.
 
 Equal words are only a hint. Sets that share one are linked in rounds, so that a group of thousands of
 near copies never turns into all its pairs:
@@ -28,7 +29,7 @@ compared, so no link between components is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -61,24 +62,48 @@ def most_different(a, b, percent: int):
     return (100 - percent) * (a + b) // (100 + percent)
 
 
-def words_of(hashes: np.ndarray, low: int, beyond: int, percent: int) -> tuple[np.ndarray, int]:
-    """Keys of the sketch words by which a set is found in one band, and how many of them any partner shares."""
+def slack(n: int, most: int) -> int:
+    """Words beyond ``most`` such that n shingles leave fewer of all words empty than that, four deviations off."""
+    extra = 6 if most else 0
+    while most:
+        count = most + 1 + extra
+        miss = np.exp(-n / count)
+        empty, spread = count * miss, np.sqrt(count * miss * max(1 - (1 + n / count) * miss, 0))
+        if extra >= empty + 4 * spread:
+            break
+        extra += 1
+    return extra
+
+
+@cache
+def word_count(low: int, beyond: int, percent: int) -> tuple[int, int]:
+    """Words of the sketches in a band, and how many of them linked sets can differ in."""
     small = beyond - 1
     most = most_different(small, small * 100 // percent, percent)
-    count = most + 1 + (6 + most // 16 if most else 0)
+    return most + 1 + slack(low, most), most
+
+
+def words_of(hashes: np.ndarray, low: int, beyond: int, percent: int) -> tuple[np.ndarray, int]:
+    """Keys by which a set is found in one band, and how many of them any partner shares.
+
+    The keys are those of its filled sketch words and, when too few are filled to promise one, of its prefix.
+    A partner that can promise one shares a filled word; two sets that cannot share a key of their prefixes.
+    """
+    count, most = word_count(low, beyond, percent)
     place = mix(hashes ^ np.uint64(low))
     part = ((place >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
+    spread = mix(place + np.uint64(1))
     words = np.zeros(count, np.uint64)
-    np.bitwise_xor.at(words, part, mix(place + np.uint64(1)))
+    np.bitwise_xor.at(words, part, spread)
     used = np.zeros(count, bool)
     used[part] = True
+    keys = mix(mix(words[used] + np.uint64(low)) + np.flatnonzero(used).astype(np.uint64))
     # count - most words agree at least; the empty ones among them do not show
     shared = count - most - int(count - used.sum())
-    if shared <= 0:
-        # a partner may leave its empty words out: then only the one or more that it is sure to share are met
-        used[:] = True
-        shared = 1
-    return mix(mix(words[used] + np.uint64(low)) + np.flatnonzero(used).astype(np.uint64)), shared
+    if shared > 0:
+        return keys, shared
+    prefix = np.sort(spread)[: len(spread) + (-percent * len(spread)) // 100 + 1]
+    return np.concatenate([keys, mix(mix(prefix + np.uint64(low)) + np.uint64(count))]), 1
 
 
 def _roles(n: int, percent: int) -> list[tuple[int, int]]:

@@ -2,13 +2,15 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from saleswh.llm.exact_dedup import exact_dedup
 from saleswh.llm.line_runs import dedup_lines
 from saleswh.llm.pareto_mix import pareto_mix
-from saleswh.llm.parity_join import bands, jaccard_join, most_different, words_of
+from saleswh.llm import parity_join as PJ
+from saleswh.llm.parity_join import bands, jaccard_join, most_different, word_count, words_of
 from saleswh.llm.shingles import shingle_sets
 
 SCHEMA = "doc_id long, text string, source string, digest string, n long, row string"
@@ -142,14 +144,54 @@ def test_no_rows(spark):
 
 
 def test_added_shingle_beside_few_words(spark):
-    """A set with too many empty words emits them all; its partner with one shingle more emits only its own."""
+    """A set that fills too few words to promise one, beside a partner with one shingle more."""
     rng = random.Random(4)
     while True:
         words = [f"w{rng.randrange(10**9)}" for _ in range(11)]
         pair = [" ".join(words[:-1]), " ".join(words)]
         (a, shared), (b, _) = (words_of(x, 6, 9, 80) for x in shingle_sets(pair))
-        if len(a) == 9 and len(b) == 3:
+        count, most = word_count(6, 9, 80)
+        if len(a) != count - most and shared == 1 and len(set(a.tolist()) & set(b.tolist())) < 4:
             break
     assert shared <= len(set(a.tolist()) & set(b.tolist()))
     got = {r.doc_id: r.component_id for r in jaccard_join(docs(spark, [(i, x, "a") for i, x in enumerate(pair)])).collect()}
     assert got == {0: 0, 1: 0}
+
+
+def linked_pairs(rng, n, times):
+    """Sets of n shingles and partners at the least similarity that links."""
+    for _ in range(times):
+        more = int(rng.integers(0, n // 4 + 1))
+        b_size = n + more
+        gone = max(g for g in range(n) if g == 0 or 100 * (n - g) >= 80 * (n + b_size - (n - g)))
+        pool = rng.integers(0, 2**63, n + b_size).astype(np.uint64)
+        yield np.sort(pool[:n]), np.sort(np.concatenate([pool[gone:n], pool[n : n + b_size - (n - gone)]]))
+
+
+@pytest.mark.parametrize("cut", [0, 3])
+def test_linked_sets_meet(monkeypatch, cut):
+    """Every linked pair shares as many keys as both sets promise, also when words are too few (cut) and prefixes must do."""
+    if cut:
+        plain = PJ.slack
+        monkeypatch.setattr(PJ, "slack", lambda n, most: plain(n, most) // cut)
+        word_count.cache_clear()
+    rng = np.random.default_rng(6)
+    short = 0
+    for n in (1, 2, 5, 6, 8, 11, 17, 30, 64, 150, 228, 364, 600, 1000, 3000):
+        for a, b in linked_pairs(rng, n, 60 if n < 500 else 8):
+            low, beyond = next(band for band in bands(n) if band[0] <= n < band[1])
+            (x, promised_a), (y, promised_b) = (words_of(s, low, beyond, 80) for s in (a, b))
+            met = len(np.intersect1d(x, y))
+            assert met >= max(promised_a, promised_b) >= 1
+            short += promised_a == promised_b == 1
+    word_count.cache_clear()
+    assert not cut or short > 50
+
+
+def test_empty_words_have_no_key():
+    """Sets without a common shingle share no key, at the lower ends of the bands too."""
+    rng = np.random.default_rng(7)
+    for n in (6, 20, 142, 228, 364, 583, 933):
+        low, beyond = next(band for band in bands(n) if band[0] <= n < band[1])
+        keys = [words_of(np.sort(rng.integers(0, 2**63, n).astype(np.uint64)), low, beyond, 80)[0] for _ in range(30)]
+        assert len(np.unique(np.concatenate(keys))) == sum(len(np.unique(k)) for k in keys)
