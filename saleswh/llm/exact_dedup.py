@@ -56,7 +56,7 @@ def exact_dedup(
     text are not read, whatever their names. No rows give no rows.
     """
     digests = docs.select(
-        F.col(key).alias("doc_id"), F.sha2(normalised(F.col(text)), 256).alias("digest")
+        F.col(f"`{key}`").alias("doc_id"), F.sha2(normalised(F.col(f"`{text}`")), 256).alias("digest")
     ).withColumn("row", F.monotonically_increasing_id())
     # written once: the row numbers below must not change when a task runs again
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row").alias("place")

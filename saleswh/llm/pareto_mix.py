@@ -80,14 +80,14 @@ def pareto_mix(
     """One row per row of docs: doc_id, size, source_size, target, taken, copies.
 
     size: words of the text (null: 0); taken = copies * size. Documents without words are
-    taken 0 times. Draws depend on the key and the seed only, so reruns agree; rows of one key share
+    taken 0 times. Draws depend on the key and the seed only and ties are broken by size, so reruns agree; rows of one key share
     their draw. Other columns of docs are not read. No rows give no rows.
     """
     rows = stage(
         docs.select(
-            F.col(key).alias("doc_id"),
-            F.col(source).cast("string").alias("source"),
-            F.coalesce(F.regexp_count(F.col(text), F.lit(WORDS)), F.lit(0)).cast("bigint").alias("size"),
+            F.col(f"`{key}`").alias("doc_id"),
+            F.col(f"`{source}`").cast("string").alias("source"),
+            F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORDS)), F.lit(0)).cast("bigint").alias("size"),
         ),
         "sizes",
     ).withColumn("bits", F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(0))
@@ -143,7 +143,8 @@ def pareto_mix(
 
     marked = drawn.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left")
     inside = F.col("bin") == F.col("cut_bin")
-    ordered = Window.partitionBy("of").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    # rows that agree in all three are the same to the result
+    ordered = Window.partitionBy("of").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     # in the bin of the cut a document goes in while its middle lies before the end
     middle = F.col("before") + F.coalesce(F.sum("size").over(ordered), F.lit(0)) + F.col("size") / 2
     at_cut = marked.filter(inside).withColumn("more", (middle <= F.col("left")).cast("int"))

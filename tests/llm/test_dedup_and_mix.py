@@ -195,3 +195,20 @@ def test_empty_words_have_no_key():
         low, beyond = next(band for band in bands(n) if band[0] <= n < band[1])
         keys = [words_of(np.sort(rng.integers(0, 2**63, n).astype(np.uint64)), low, beyond, 80)[0] for _ in range(30)]
         assert len(np.unique(np.concatenate(keys))) == sum(len(np.unique(k)) for k in keys)
+
+
+def test_mix_of_repeated_keys_reruns_alike(spark):
+    """Rows that share a key and so a draw, in other sizes: the same rows are taken whatever their order."""
+    rng = random.Random(8)
+    rows = [(rng.randrange(60), "w " * rng.randrange(1, 90), "one") for _ in range(2000)]
+    found = []
+    for order in (rows, rows[::-1], sorted(rows, key=lambda r: len(r[1]))):
+        got = pareto_mix(docs(spark, order).repartition(5), seed=3).select("doc_id", "size", "taken").collect()
+        found.append(sorted(map(tuple, got)))
+    assert found[0] == found[1] == found[2]
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1, "a b", "s"), (2, "a  b", "s")], "`a.b` long, `c.d` string, `e.f` string")
+    assert [r.kept for r in exact_dedup(df, "a.b", "c.d").orderBy("doc_id").collect()] == [True, False]
+    assert sorted(r.size for r in pareto_mix(df, "a.b", "c.d", "e.f").collect()) == [2, 2]
