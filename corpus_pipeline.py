@@ -19,7 +19,7 @@ from saleswh.llm.staging import settle
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject."""
+    """Documents that the classifier does not reject, each row on its own; a null text counts as empty."""
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -36,7 +36,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; of rows that repeat key and text, one."""
+    """The document with the smallest doc_id of each group of near copies; of rows that repeat key and text, one.
+
+    Documents without words are never near copies. Keys name documents: rows that share a kept key but differ in text all stay, as
+    do rows without a key in a group that has no other key.
+    """
     groups = jaccard_join(docs)
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
@@ -44,7 +48,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it; documents without words go.
+
+    Rows that repeat key and size are taken alike, as often as the one of them that is taken most.
+    """
     taken = pareto_mix(docs).groupBy("doc_id", "size").agg(F.max("copies").alias("copies")).filter("copies > 0")
     taken = taken.toDF("taken_id", "taken_size", "taken_copies")
     size = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0))
@@ -66,7 +73,7 @@ STAGES = [
     ("byte-level BPE", encode),
 ]
 
-#: The classifier is not SQL; tests compare each stage with a plain version instead.
+#: The classifier and the tokens are not SQL; tests compare each stage with a plain version instead.
 ORACLE_SQL = None
 
 
