@@ -9,7 +9,10 @@ separator is the record separator, and read back by Content-Length.
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Iterator
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,8 +31,14 @@ _BREAKS = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|caption|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|"
     r"h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>"
 )
-#: Entities by name; the ampersand comes last, so that what it yields is not decoded again.
-_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+#: A character reference, text without any, or a lone ampersand: together they cover every text.
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&"
+_HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_QUOTES = r"""^["']|["']$"""
+#: Named references with their semicolon.
+NAMES = {name: char for name, char in html5.items() if name.endswith(";")}
+#: Maps that the names are dealt to, so that a look-up walks through a few.
+_MAPS = 256
 
 
 def sha256_label(block: Column) -> Column:
@@ -42,30 +51,47 @@ def record_id(kind: Column, of: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *(F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))), F.lit(">"))
 
 
-def decoded_numbers(text: Column) -> Column:
-    """Decimal and hexadecimal character references as characters; wrong ones stay as they are."""
-    pattern = r"(?s)^(?:([0-9]{1,7})|[xX]([0-9a-fA-F]{1,6}));(.*)$"
+def _name_literal() -> Column:
+    maps: list[dict[str, str]] = [{} for _ in range(_MAPS)]
+    for name, char in NAMES.items():
+        maps[zlib.crc32(name.encode()) % _MAPS][name] = char
+    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>")
 
-    def part(p: Column) -> Column:
-        tens, hexa = F.regexp_extract(p, pattern, 1), F.regexp_extract(p, pattern, 2)
-        code = F.when(tens != "", tens.cast("bigint")).when(hexa != "", F.conv(hexa, 16, 10).cast("bigint"))
+
+def decoded(text: Column) -> Column:
+    """All character references that end in a semicolon, named, decimal and hexadecimal, as characters.
+
+    One pass from left to right, so what a reference yields is never decoded again. Unknown names, numbers that are no character
+    and control characters below the tab stay as they are.
+    """
+    maps = _name_literal()
+
+    def character(code: Column) -> Column:
         good = ((code > 8) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
-        char = F.decode(F.unhex(F.lpad(F.hex(F.when(good, code)), 8, "0")), "UTF-32")
-        return F.coalesce(F.concat(char, F.regexp_extract(p, pattern, 3)), F.concat(F.lit("&#"), p))
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(good, code)), 8, "0")), "UTF-32")
+
+    def token(t: Column) -> Column:
+        name = F.substring(t, 2, 40)
+        number = F.substring(t, F.lit(3), F.length(t) - 3)
+        hexa = F.conv(F.substring(t, F.lit(4), F.length(t) - 4), 16, 10)
+        named = F.try_element_at(F.get(maps, (F.crc32(name.cast("binary")) % _MAPS).cast("int")), name)
+        found = (
+            F.when(~t.startswith("&") | (t == "&"), t)
+            .when(F.lower(F.substring(t, 1, 3)) == "&#x", character(hexa.cast("bigint")))
+            .when(t.startswith("&#"), character(number.cast("bigint")))
+            .otherwise(named)
+        )
+        return F.coalesce(found, t)
 
-    parts = F.split(text, "&#")
-    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), part)
-    joined = F.concat(F.element_at(parts, 1), F.array_join(rest, ""))
-    return F.when(F.contains(text, F.lit("&#")), joined).otherwise(text)
+    joined = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)), token), "")
+    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:
     """Visible text: block elements on lines of their own, white space collapsed, references decoded."""
     text = F.regexp_replace(html, _HIDDEN, " ")
     text = F.regexp_replace(F.regexp_replace(text, _BREAKS, "\n"), r"<[^>]*>", "")
-    text = decoded_numbers(text)
-    for name, char in _ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
+    text = decoded(text)
     text = F.regexp_replace(text, r"[ \t\r\f\x0B\x{A0}]+", " ")
     return F.trim(F.regexp_replace(F.regexp_replace(text, r"(?: ?\n)+ ?", "\n"), r"^\n+|\n+$", ""))
 
@@ -95,7 +121,7 @@ def derivatives(found: DataFrame) -> DataFrame:
     parts = parts.withColumn("digest", sha256_label(F.col("body")))
     title = F.regexp_extract("body", r"(?is)<title\b[^>]*>(.*?)</title", 1)
     title = F.trim(F.regexp_replace(title, r"\s+", " "))
-    links = F.regexp_extract_all("body", F.lit(r"(?i)<a\s[^>]*?href=\"([^\"]*)\""), F.lit(1))
+    links = F.transform(F.regexp_extract_all("body", F.lit(_HREF), F.lit(1)), lambda x: F.regexp_replace(x, _QUOTES, ""))
     fields = F.concat(
         F.lit("title: "), title, F.lit(CRLF + "source-payload-digest: "), F.col("digest"), F.lit(CRLF),
         F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(x, r"\s+", " "), F.lit(CRLF))), ""),
@@ -167,24 +193,20 @@ a AS (
     '(?is)<!--.*?-->|<(?:script|style|noscript|template)\b.*?</(?:script|style|noscript|template)\s*>', ' ', 'g'),
     '(?i)</?(?:address|article|aside|blockquote|body|br|caption|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>', chr(10), 'g'),
     '<[^>]*>', '', 'g') AS t FROM s),
-b AS (SELECT *, string_split(t, '&#') AS p FROM a),
+n AS MATERIALIZED (SELECT MAP([{names}], [{chars}]) AS names),
 c AS (
-  SELECT *, p[1] || array_to_string(list_transform(p[2:], lambda x: CASE
-    WHEN regexp_matches(x, '^[0-9]{1,7};') AND regexp_extract(x, '^[0-9]+')::INT BETWEEN 9 AND 1114111
-      AND regexp_extract(x, '^[0-9]+')::INT NOT BETWEEN 55296 AND 57343
-      THEN chr(regexp_extract(x, '^[0-9]+')::INT) || regexp_replace(x, '^[0-9]+;', '')
-    WHEN regexp_matches(x, '^[xX][0-9a-fA-F]{1,6};') AND ('0x' || regexp_extract(x, '^[xX]([0-9a-fA-F]+)', 1))::INT BETWEEN 9 AND 1114111
-      AND ('0x' || regexp_extract(x, '^[xX]([0-9a-fA-F]+)', 1))::INT NOT BETWEEN 55296 AND 57343
-      THEN chr(('0x' || regexp_extract(x, '^[xX]([0-9a-fA-F]+)', 1))::INT) || regexp_replace(x, '^[xX][0-9a-fA-F]+;', '')
-    ELSE '&#' || x END), '') AS u FROM b),
+  SELECT *, array_to_string(list_transform(regexp_extract_all(t, '{reference}'), lambda x: coalesce(CASE
+    WHEN NOT starts_with(x, '&') OR x = '&' THEN x
+    WHEN NOT starts_with(x, '&#') THEN list_extract(map_extract(names, x), 1)
+    ELSE CASE WHEN code(x) BETWEEN 9 AND 55295 OR code(x) BETWEEN 57344 AND 1114111 THEN chr(code(x)::INT) END END, x)), '') AS u FROM a, n),
 e AS (
   SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(
-    replace(replace(replace(replace(replace(replace(u, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&nbsp;', ' '), '&amp;', '&'),
+    u,
     '[ \t\r\f\x0B\x{A0}]+', ' ', 'g'), '(?: ?\n)+ ?', chr(10), 'g'), '^\n+|\n+$', '', 'g'), ' ') AS plain,
     'title: ' || trim(regexp_replace(regexp_extract(body, '(?is)<title\b[^>]*>(.*?)</title', 1), '\s+', ' ', 'g'), ' ')
     || chr(13) || chr(10) || 'source-payload-digest: ' || digest || chr(13) || chr(10)
-    || array_to_string(list_transform(regexp_extract_all(body, '(?i)<a\s[^>]*?href="([^"]*)"', 1),
-      lambda x: 'outlink: ' || regexp_replace(x, '\s+', ' ', 'g') || chr(13) || chr(10)), '')
+    || array_to_string(list_transform(regexp_extract_all(body, '{href}', 1),
+      lambda x: 'outlink: ' || regexp_replace(regexp_replace(x, '{quotes}', '', 'g'), '\s+', ' ', 'g') || chr(13) || chr(10)), '')
     || 'http-header: HTTP/1.1 200 OK' || chr(13) || chr(10) || 'http-header: Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) AS fields
   FROM c),
 f AS (
@@ -192,12 +214,26 @@ f AS (
   UNION ALL SELECT page_id, 'conversion', refers_to, target_uri, digest, plain FROM e),
 g AS (SELECT *, md5(concat_ws('|', record_type, refers_to)) AS m FROM f)
 SELECT page_id, record_type, '<urn:uuid:' || substr(m, 1, 8) || '-' || substr(m, 9, 4) || '-' || substr(m, 13, 4) || '-'
-    || substr(m, 17, 4) || '-' || substr(m, 21, 12) || '>' AS record_id, refers_to, target_uri,
+    || substr(m, 17, 4) || '-' || substr(m, 21, 12) || '>' AS record_id, refers_to, target_uri, '2024-01-01T00:00:00Z' AS date,
+  CASE record_type WHEN 'metadata' THEN 'application/warc-fields' ELSE 'text/plain; charset=utf-8' END AS content_type,
   digest AS source_payload_digest, 'sha256:' || sha256(block) AS block_digest, strlen(block)::BIGINT AS content_length
 FROM g
 """
 
 
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+#: The rule in SQL: the names come from the standard's table, numbers are read by their base.
+_CODE = "CASE WHEN lower(x[3]) = 'x' THEN ('0x' || x[4:-2])::BIGINT ELSE x[3:-2]::BIGINT END"
+for _key, _value in {
+    "{names}": ", ".join(_quoted("&" + n) for n in NAMES), "{chars}": ", ".join(_quoted(c) for c in NAMES.values()),
+    "{reference}": _REFERENCE, "{href}": _HREF.replace("'", "''"), "{quotes}": _QUOTES.replace("'", "''"), "code(x)": f"({_CODE})",
+}.items():
+    OP5_SQL = OP5_SQL.replace(_key, _value)
+
+
 @query(OP5_SQL)
 def op5_warc_derivatives(spark, sf_dir):
-    return derivatives(responses(table(spark, sf_dir, "pages"))).drop("block", "date", "content_type")
+    return derivatives(responses(table(spark, sf_dir, "pages"))).drop("block")

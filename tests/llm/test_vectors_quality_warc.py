@@ -138,3 +138,31 @@ def test_round_trip(spark, pages, tmp_path):
 
 def test_no_pages(pages):
     assert warc.derivatives(warc.responses(pages.filter("false"))).count() == 0
+
+
+def test_references_like_the_standard(spark):
+    """Every named reference, numbers, and what only looks like one; nothing is decoded twice."""
+    import html
+    from html.entities import html5
+
+    texts = ["&" + n for n in html5 if n.endswith(";")] + ["b&#38;lt;", "&amp;amp;lt;", "&eacute;&mdash;&copy;&hellip;", "a & b &; &&lt;&", "&#233;&#xE9;&#XE9;&#x1F642;"]
+    raw = ["&#0;", "&#xD800;", "&#1114112;", "&#99999999;", "&nosuch;", "&lt", "&#;", "&#x;"]
+    df = spark.createDataFrame(list(enumerate(texts + raw)), "i int, t string")
+    got = {r.i: r.d for r in df.select("i", warc.decoded(F.col("t")).alias("d")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == html.unescape(t), t
+    assert [got[len(texts) + i] for i in range(len(raw))] == raw
+
+
+def test_outlinks_in_three_forms(spark):
+    html = """<a href='/one'>1</a><a class=x href=/two>2</a><A HREF = "/th'ree">3</A><a data-href="/no">x</a><a title="t" href="">e</a>"""
+    source = warc.responses(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string"))
+    (block,) = [r.block for r in warc.derivatives(source).collect() if r.record_type == "metadata"]
+    assert [x[9:] for x in block.split("\r\n") if x.startswith("outlink: ")] == ["/one", "/two", "/th'ree", ""]
+
+
+def test_clashing_names_and_long_pages(spark):
+    page = "<p>" + "word &amp; more " * 100_000
+    df = spark.createDataFrame([(1, "u", page, "x", "y", 3)], "page_id long, url string, html string, block string, head string, body int")
+    got = {r.record_type: r for r in warc.derivatives(warc.responses(df).withColumns({"head": F.lit(1), "digest": F.lit("d")})).collect()}
+    assert got["conversion"].block == ("word & more " * 100_000).strip()
