@@ -31,7 +31,7 @@ REPORTS = [
     "sales_by_city", "price_gap_total", "distinct_cities_orders",
 ]
 WIDE = [
-    "sales_flat", "as_of_orders", "as_of_events", "event_history", "scd2_apply", "upsert",
+    "sales_flat", "as_of_orders", "as_of_orders_array", "as_of_orders_sweep", "as_of_events", "event_history", "scd2_apply", "upsert",
     "dim_customer", "fact_sales", "replicate", "check_unique",
 ]
 
