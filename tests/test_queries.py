@@ -76,3 +76,22 @@ def test_top_k_does_not_sort_everything(spark):
 def test_star_reports_sum_before_the_join(spark):
     plan = plan_of(QUERIES["revenue_by_country"](spark, SF))
     assert plan.index("partial_sum(_sales") < plan.index("partial_sum(sales")
+
+
+ORDERED = sorted(n for n, sql in ORACLES.items() if re.search(r"ORDER BY [\w, ]+(LIMIT \d+)?\s*$", sql))
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_rows_come_in_order(spark, con, name):
+    """The order itself, where the check SQL ends with one; rows that tie in all its columns may change places."""
+    df = QUERIES[name](spark, SF)
+    cur = con.execute(ORACLES[name])
+    by = set(re.findall(r"\w+", ORACLES[name].rsplit("ORDER BY", 1)[1]))
+    places = [(i, c[0]) for i, c in enumerate(cur.description) if c[0] in by]
+    want = [tuple(check._plain(r[i]) for i, _ in places) for r in cur.fetchall()]
+    got = [tuple(check._plain(r[c]) for _, c in places) for r in df.collect()]
+    assert places and got == want
+
+
+def test_some_queries_are_ordered():
+    assert {"sales_listing", "as_of_orders_short", "top_customers"} <= set(ORDERED)
