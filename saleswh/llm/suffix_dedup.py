@@ -41,11 +41,13 @@ LENGTH = 50
 K = 16
 #: Bytes ordered by sorting; each level of eight is cheap next to the tries, which then see few suffixes.
 SHALLOW = 40
-CHUNK = 3 << 20
+CHUNK = 6 << 20
 #: Compression of the pieces of a chunk that go to one bucket.
 LEVEL = 3
 #: Bytes of text per bucket.
-BUCKET = 12 << 20
+BUCKET = 16 << 20
+#: Bytes of pieces of a bucket that are sorted at a time.
+SLICE = 4 << 20
 _LAST = np.iinfo(np.int64).max
 
 
@@ -84,15 +86,18 @@ def _runs(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.n
         none = np.zeros(0, np.int64)
         return joined, none.astype(np.uint64), none, none, none
     keys = window_keys(joined, length)
-    owner = np.repeat(np.arange(len(texts)), sizes)[: len(keys)]
-    inside = np.arange(len(keys)) + length <= (begins + sizes)[owner]
+    # windows that would reach into the next text; every text has one window at least
+    inside = np.ones(len(joined), bool)
+    for end in (begins + sizes).tolist():
+        inside[end - length + 1 : end] = False
+    inside = inside[: len(keys)]
     new = np.ones(len(keys), bool)
-    # lengths and starts fit 32 bits: a Spark string is shorter than 2^31 bytes
-    new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]) | ~inside[:-1]
+    new[1:] = (keys[1:] != keys[:-1]) | ~inside[:-1]
     starts = np.flatnonzero(new & inside)
     bounds = np.flatnonzero(new | ~inside)
     ends = np.append(bounds, len(keys))[np.searchsorted(bounds, starts, side="right")]
-    return joined, keys[starts], owner[starts], starts, ends - starts
+    owner = np.searchsorted(begins, starts, side="right") - 1
+    return joined, keys[starts], owner, starts, ends - starts
 
 
 def _gathered(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -150,27 +155,43 @@ def _chunk(held: list[tuple[int, int, bytes]], length: int, buckets: int) -> Ite
     copy = docs[owner] > docs[owner[first]][back]
     # pieces of the smallest document itself all stay: one with text is enough for others, but its own are judged too
     bucket = (keys % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((copy, bucket))
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)) if buckets < len(order) else None
-    if cuts is None:
-        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
-        spans = list(zip(edges[:-1], edges[1:]))
-    else:
-        spans = [(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
+    # 32 bits of a key do inside a bucket; pieces with text come first, by key
+    short = (keys >> np.uint64(32)).astype(np.uint32)
+    order = np.lexsort((short, copy, bucket))
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1)).tolist()
     pack = zstandard.ZstdCompressor(level=LEVEL).compress
     numbers, blocks = [], []
-    for a, b in spans:
+    for a, b in zip(edges[:-1], edges[1:]):
         o = order[a:b]
-        full = o[~copy[o]]
-        # columns that compress: text numbers, then starts and windows; 32 bits of a key do inside a bucket
+        full = o[: b - a - int(copy[o].sum())]
+        # only the documents of the block are named
+        named, local = np.unique(owner[o], return_inverse=True)
         columns = [
-            np.array([len(o), len(held)], np.int64), docs, marks, np.diff(owner[o], prepend=0).astype(np.int32),
-            (starts[o] - begins[owner[o]]).astype(np.int32), windows[o].astype(np.int32), copy[o],
-            (keys[full] >> np.uint64(32)).astype(np.uint32), _gathered(text, starts[full], sizes[full]),
+            np.array([len(o), len(full), len(named)], np.int64), _planes(docs[named]), marks[named], _planes(local.astype(np.int32)),
+            _planes((starts[o] - begins[owner[o]]).astype(np.int32)), _planes(windows[o].astype(np.int32)),
+            short[full], _gathered(text, starts[full], sizes[full]),
         ]
         numbers.append(int(bucket[o[0]]))
         blocks.append(pack(b"".join(c.tobytes() for c in columns)))
-    yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "block"])
+        if len(blocks) == 4096:
+            yield _batch(numbers, blocks)
+            numbers, blocks = [], []
+    if blocks:
+        yield _batch(numbers, blocks)
+
+
+def _batch(numbers: list[int], blocks: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "block"])
+
+
+def _planes(numbers: np.ndarray) -> np.ndarray:
+    """The bytes of numbers, first all lowest ones, then all next ones: small numbers compress well in this order."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T)
+
+
+def _numbers(planes: np.ndarray, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).view(kind).ravel()
 
 
 def shallow_sort(words: list[np.ndarray], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,93 +302,119 @@ def equal_windows(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarr
     return out
 
 
-def _parsed(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's pieces (key, doc, mark, start, windows) with text, the copies without, and the text."""
-    n, m = np.frombuffer(data, np.int64, 2)
-    docs, marks = np.frombuffer(data, np.int64, m, 16), np.frombuffer(data, np.int64, m, 16 + 8 * m)
-    owner, start, windows = np.frombuffer(data, np.int32, 3 * n, 16 + 16 * m).reshape(3, n).astype(np.int64)
-    at = 16 + 16 * m + 12 * n
-    copy = np.frombuffer(data, bool, n, at)
-    owner = np.cumsum(owner)
-    rows = np.column_stack([np.zeros(n, np.int64), docs[owner], marks[owner], start, windows])
-    full = rows[~copy]
-    full[:, 0] = np.frombuffer(data, np.uint32, len(full), at + n)
-    return full, rows[copy], np.frombuffer(data, np.uint8, -1, at + n + 4 * len(full))
-
-
-def _shared_keys(blocks: list[pa.Buffer], unpack) -> np.ndarray:
-    """Keys of a bucket that more than one document has, sorted."""
-    parsed = [_parsed(unpack(b))[0][:, :2] for b in blocks]
-    keys = np.concatenate([p[:, 0].astype(np.uint32) for p in parsed])
-    docs = np.concatenate([p[:, 1] for p in parsed])
-    del parsed
+class _Block:
+    """The pieces of a block; those with text come first, in order of their keys."""
+
+    def __init__(self, data: bytes):
+        n, full, named = np.frombuffer(data, np.int64, 3).tolist()
+        at, raw = 24, np.frombuffer(data, np.uint8)
+        docs = _numbers(raw[at : at + 8 * named], np.int64)
+        marks = raw[at + 8 * named : at + 16 * named].view(np.int64)
+        at += 16 * named
+        local, self.start, self.windows = (_numbers(raw[at + 4 * n * i : at + 4 * n * (i + 1)], np.int32) for i in range(3))
+        at += 12 * n
+        self.full, self.doc, self.mark = full, docs[local], marks[local]
+        self.keys = np.frombuffer(data, np.uint32, full, at)
+        self.text = raw[at + 4 * full :]
+
+    def rows(self, some: np.ndarray | slice) -> np.ndarray:
+        """doc, mark, start, windows of pieces."""
+        return np.column_stack([self.doc[some], self.mark[some], self.start[some], self.windows[some]])
+
+
+def _spans(rows: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(4)], ["doc", "mark", "start", "end"])
+
+
+def _shared(keys: np.ndarray, docs: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that more than one document has, sorted, and the bytes of their pieces."""
     order = np.argsort(keys)
     keys, docs = keys[order], docs[order]
     edge = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     if not len(edge):
-        return keys
-    return keys[edge][np.maximum.reduceat(docs, edge) != np.minimum.reduceat(docs, edge)]
+        return keys, sizes
+    several = np.maximum.reduceat(docs, edge) != np.minimum.reduceat(docs, edge)
+    return keys[edge][several], np.add.reduceat(sizes[order].astype(np.int64), edge)[several]
 
 
 def _repeated(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     """doc, mark, start, end: bytes of a bucket's runs that a smaller document has in a string of ``length``.
 
-    Blocks are unpacked twice: for the keys of one document only, which are settled, and for the text of the others.
+    Blocks are unpacked twice: for the keys, since those of one document only are settled, and for the pieces of the others. These
+    are sorted by ranges of keys, SLICE bytes of pieces (or one key) at a time.
     """
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
     blocks = [b.as_buffer() for b in table.column("block")]
-    shared = _shared_keys(blocks, unpack)
-    heads, contents, found = [], [], []
-    for block in blocks:
-        full, copies, text = _parsed(unpack(block))
-        found.append(np.column_stack([copies[:, 1:4], copies[:, 3] + copies[:, 4] + length - 1]))
-        sizes = full[:, 4] + length - 1
-        keys = full[:, 0].astype(np.uint32)
-        keep = np.searchsorted(shared, keys, side="right") > np.searchsorted(shared, keys)
-        contents.append(_gathered(text, (np.cumsum(sizes) - sizes)[keep], sizes[keep]))
-        heads.append(full[keep])
-    head, text = np.concatenate(heads), np.concatenate(contents)
-    del heads, contents
-    sizes = head[:, 4] + length - 1
+    heads = []
+    for packed in blocks:
+        block = _Block(unpack(packed))
+        heads.append((block.keys.copy(), block.doc[: block.full].copy(), block.windows[: block.full] + np.int32(length - 1)))
+        copies = block.rows(slice(block.full, None))
+        copies[:, 3] += copies[:, 2] + length - 1
+        if len(copies):
+            yield _spans(copies)
+    shared, sizes = _shared(*(np.concatenate(x) for x in zip(*heads)))
+    del heads
+    if not len(shared):
+        return
+    text = np.empty(sizes.sum(), np.uint8)
+    keys, rows, filled = [], [], 0
+    for packed in blocks:
+        block = _Block(unpack(packed))
+        some = np.flatnonzero(shared[np.minimum(np.searchsorted(shared, block.keys), len(shared) - 1)] == block.keys)
+        keys.append(block.keys[some])
+        rows.append(block.rows(some))
+        ends = np.cumsum(block.windows[: block.full] + np.int64(length - 1))
+        wide = block.windows[some] + np.int64(length - 1)
+        piece = _gathered(block.text, ends[some] - wide, wide)
+        text[filled : filled + len(piece)] = piece
+        filled += len(piece)
+    del block
+    keys, rows = np.concatenate(keys), np.concatenate(rows)
+    wide = rows[:, 3] + length - 1
+    places = np.cumsum(wide) - wide
+    order = np.lexsort((rows[:, 0], keys))
+    part = (np.cumsum(sizes) - sizes) // SLICE
+    limits = shared[np.flatnonzero(np.diff(part, prepend=-1))]
+    cuts = np.append(np.searchsorted(keys[order], limits), len(keys)).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        o = order[a:b]
+        yield _spans(_covered(keys[o], rows[o], _gathered(text, places[o], wide[o]), length))
+
+
+def _covered(keys: np.ndarray, rows: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
+    """doc, mark, start, end: spans of pieces' windows that a smaller document has.
+
+    keys, rows (doc, mark, start, windows) and text are those of all pieces of some keys, in order of key and document.
+    """
+    sizes = rows[:, 3] + length - 1
     places = np.cumsum(sizes) - sizes
-    order = np.lexsort((head[:, 1], head[:, 0]))
-    head, places, sizes = head[order], places[order], sizes[order]
-    if len(head):
-        # equal pieces are one, with the smallest document of them (rows are in order of documents)
-        small = _gathered(text, places, sizes)
-        del text
-        places = np.cumsum(sizes) - sizes
-        first, back = _merged(small, head[:, 0], places, sizes)
-        one_doc = head[first, 1]
-        windows = head[first, 4]
-        ends = np.cumsum(windows)
-        starts = np.repeat(places[first] - (ends - windows), windows) + np.arange(ends[-1])
-        owner = np.repeat(one_doc, windows)
-        least = owner.copy()
-        # a piece that alone has its key shares no window with another one
-        _, key_number, pieces = np.unique(head[first, 0], return_inverse=True, return_counts=True)
-        open_ = np.flatnonzero(np.repeat(pieces[key_number] > 1, windows))
-        if len(open_):
-            string = equal_windows(small, starts[open_], length)
-            smallest = np.full(string.max() + 1, _LAST)
-            np.minimum.at(smallest, string, owner[open_])
-            least[open_] = smallest[string]
-        # windows of a row that a smaller document has; neighbours join into spans
-        rows_ends = np.cumsum(head[:, 4])
-        offset = np.arange(rows_ends[-1]) - np.repeat(rows_ends - head[:, 4], head[:, 4])
-        gone = least[np.repeat((ends - windows)[back], head[:, 4]) + offset] < np.repeat(head[:, 1], head[:, 4])
-        edges = np.zeros(len(gone) + 1, bool)
-        edges[:-1] = gone & (np.append(False, ~gone[:-1]) | (offset == 0))
-        begin = np.flatnonzero(edges[:-1])
-        last = np.flatnonzero(gone & np.append((~gone[1:]) | (offset[1:] == 0), True))
-        row = np.searchsorted(rows_ends, begin, side="right")
-        found.append(np.column_stack([
-            head[row, 1], head[row, 2], head[row, 3] + offset[begin], head[row, 3] + offset[last] + length
-        ]))
-    spans = np.concatenate(found)
-    yield pa.RecordBatch.from_arrays([pa.array(spans[:, i]) for i in range(4)], ["doc", "mark", "start", "end"])
+    # equal pieces are one, with the smallest document of them
+    first, back = _merged(text, keys, places, sizes)
+    windows = rows[first, 3]
+    ends = np.cumsum(windows)
+    starts = np.repeat(places[first] - (ends - windows), windows) + np.arange(ends[-1])
+    least = np.repeat(rows[first, 0], windows)
+    # a piece that alone has its key shares no window with another one
+    _, number, pieces = np.unique(keys[first], return_inverse=True, return_counts=True)
+    alike = np.flatnonzero(np.repeat(pieces[number] > 1, windows))
+    if len(alike):
+        string = equal_windows(text, starts[alike], length)
+        smallest = np.full(string.max() + 1, _LAST)
+        np.minimum.at(smallest, string, least[alike])
+        least[alike] = smallest[string]
+    # windows of a row that a smaller document has; neighbours join into spans
+    rows_ends = np.cumsum(rows[:, 3])
+    offset = np.arange(rows_ends[-1]) - np.repeat(rows_ends - rows[:, 3], rows[:, 3])
+    gone = least[np.repeat((ends - windows)[back], rows[:, 3]) + offset] < np.repeat(rows[:, 0], rows[:, 3])
+    begin = np.flatnonzero(gone & (np.append(True, ~gone[:-1]) | (offset == 0)))
+    last = np.flatnonzero(gone & np.append((~gone[1:]) | (offset[1:] == 0), True))
+    row = np.searchsorted(rows_ends, begin, side="right")
+    return np.column_stack([
+        rows[row, 0], rows[row, 1], rows[row, 2] + offset[begin], rows[row, 2] + offset[last] + length
+    ])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,7 +443,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(max(1, math.ceil(total / BUCKET)), 1 << 30)
     blocks = rows.mapInArrow(partial(_cut, length=length, buckets=buckets), "bucket int, block binary")
-    dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = blocks.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
     return settle(
         dealt.mapInArrow(by_group(["bucket"], partial(_repeated, length=length)), "doc long, mark long, start long, end long"),
         "spans",
