@@ -41,8 +41,9 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed,chunk,bucket", [(1, 1 << 20, 1 << 20), (2, 300, 2000), (3, 1, 500)])
-def test_like_brute_force(spark, monkeypatch, seed, chunk, bucket):
+@pytest.mark.parametrize("seed,chunk,bucket,piece", [(1, 1 << 20, 1 << 20, 1 << 20), (2, 300, 2000, 700), (3, 1, 500, 1)])
+def test_like_brute_force(spark, monkeypatch, seed, chunk, bucket, piece):
+    monkeypatch.setattr(S, "SLICE", piece)
     monkeypatch.setattr(S, "CHUNK", chunk)
     monkeypatch.setattr(S, "BUCKET", bucket)
     rows = corpus(seed)
@@ -73,3 +74,26 @@ def test_windows_in_sorted_order():
 
 def test_no_rows(spark):
     assert S.suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_blocks_do_not_grow_with_the_buckets():
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(5000)]
+    held = [(i, rng.getrandbits(63), " ".join(rng.choices(words, k=rng.randint(20, 400))).encode()) for i in range(1500)]
+
+    def size(buckets):
+        return sum(len(b) for part in S._chunk(list(held), S.LENGTH, buckets) for b in part.column("block").to_pylist())
+
+    few, many, very_many = size(42), size(2_500), size(25_000)
+    assert many < 1.5 * few
+    # a block names its own documents, so the most is a block for each piece
+    assert very_many < 2.5 * few
+
+
+def test_very_long_text_beside_its_copy(spark):
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(400_000))
+    rows = [(1, long), (2, "x" + long[1000:300_000] + "y"), (3, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in S.suffix_dedup(docs).collect()}
+    assert got == {1: (0, 0), 2: (299_000, 1), 3: (400_000, 1)}
