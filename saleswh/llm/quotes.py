@@ -2,9 +2,10 @@
 
 A line's quote level is the number of ``>`` in front of it. Runs of lines of one level form passages.
 Quoted passages are normalised (markers off, lower case, white space collapsed) and hashed, as a whole and line by
-line, and joined to the same hashes of the messages' own passages before them in the conversation. Of a message's first-level
-quotes the original with most matched characters, then the latest, is what it replies to; deeper levels
-are linked to their originals but decide nothing. A message without such a link replies to the one before it.
+line, and each is linked to the latest message before it in the conversation that has the same hash among its own passages
+and lines. Of the originals of a message's first-level quotes the one with most matched characters, then the latest, is
+what it replies to; deeper levels are linked to their originals but decide nothing. A message without such a link
+replies to the one before it.
 
 The first reply to a message goes on in its branch and every later one opens a branch of its own.
 Conversations are read in the order (branch, turn): a message never comes before what it replies to,
@@ -32,14 +33,15 @@ def _lines(rows: DataFrame) -> DataFrame:
         F.regexp_replace(x, _MARKER, "").alias("body"),
     ))
     rows = rows.select("conv", "turn", "row", found.alias("found"))
-    starts = F.transform("found", lambda x, i: (i == 0) | (x["level"] != F.get(F.col("found"), i - 1)["level"]))
-    # the number of a line's passage is how many passages began up to it
-    numbers = F.filter(F.transform(starts, lambda s, i: F.when(s, i)), lambda i: i.isNotNull())
+    starts = F.transform("found", lambda x, i: F.struct(
+        x["level"].alias("level"), x["body"].alias("body"),
+        F.when((i == 0) | (x["level"] != F.get(F.col("found"), i - 1)["level"]), 1).otherwise(0).alias("start"),
+    ))
+    # a line's passage is how many passages began up to it
+    upto = Window.partitionBy("row").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        rows.withColumn("numbers", numbers)
-        .select("conv", "turn", "row", F.posexplode("found").alias("line_no", "x"), "numbers")
-        .select("conv", "turn", "row", "line_no", "x.level", "x.body",
-                F.size(F.filter("numbers", lambda i: i <= F.col("line_no"))).alias("passage"))
+        rows.select("conv", "turn", "row", F.posexplode(starts).alias("line_no", "x"))
+        .select("conv", "turn", "row", "line_no", "x.level", "x.body", F.sum("x.start").over(upto).alias("passage"))
     )
 
 
@@ -57,6 +59,36 @@ def _units(lines: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _links(quoted: DataFrame, originals: DataFrame) -> DataFrame:
+    """quoted with ``of``, the latest earlier turn whose own passages or lines have the unit; quotes without one are left out.
+
+    A row for each quote at most: both sides pass in turns, SPAN turns of a conversation and unit at a time, and the last original of
+    each span is handed on to the next ones.
+    """
+    none = F.lit(None)
+    asked = quoted.withColumn("of", none.cast(originals.schema["of"].dataType))
+    told = originals.withColumn("turn", F.col("of"))
+    # a message does not quote itself, so of one turn the quotes come first
+    events = stage(
+        asked.unionByName(told, allowMissingColumns=True).withColumn("span", F.floor(F.col("turn") / SPAN)), "quotes"
+    )
+    inside = Window.partitionBy("conv", "unit", "span").orderBy("turn", F.col("of").isNotNull())
+    inside = inside.rowsBetween(Window.unboundedPreceding, 0)
+    found = events.withColumn("inside", F.last("of", ignorenulls=True).over(inside)).filter("of is null").drop("of")
+    spans = Window.partitionBy("conv", "unit").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = events.groupBy("conv", "unit", "span").agg(F.max("of").alias("last"))
+    carried = carried.select("conv", "unit", "span", F.last("last", ignorenulls=True).over(spans).alias("carried"))
+    linked = found.join(carried.filter("carried is not null"), ["conv", "unit", "span"], "left")
+    return linked.withColumn("of", F.coalesce("inside", "carried")).filter("of is not null").drop("inside", "carried", "span")
+
+
+def _trimmed(text: Column) -> Column:
+    """text without blank lines at its ends, in time that grows with its length."""
+    body = F.regexp_replace(text, r"^[\x20\x09-\x0D]*\n", "")
+    bare = F.rtrim(body, F.lit(" \t\n\x0b\x0c\r"))
+    return F.concat(bare, F.substring_index(F.substr(body, F.length(bare) + 1), "\n", 1))
+
+
 def _before(turns: DataFrame) -> DataFrame:
     """conv, turn, before: the turn ahead of each one, in windows of SPAN turns and one over the spans."""
     turns = turns.withColumn("span", F.floor(F.col("turn") / SPAN))
@@ -110,7 +142,7 @@ def reply_order(
     # originals: own lines of every message of a conversation in which someone quotes
     own = _lines(placed.join(quoted.select("conv").distinct(), "conv", "left_semi")).filter("level = 0")
     originals = _units(own).select("conv", F.col("turn").alias("of"), "unit").distinct()
-    links = stage(quoted.join(originals, ["conv", "unit"]).filter("of < turn"), "links")
+    links = stage(_links(quoted, originals), "links")
     best = (
         links.filter("level = 1").groupBy("conv", "turn", "of").agg(F.sum("chars").alias("chars"))
         .groupBy("conv", "turn").agg(F.max_by("of", F.struct("chars", "of")).alias("linked"))
@@ -129,7 +161,7 @@ def reply_order(
         rows.join(clean, "row", "left").join(passages, "row", "left").join(replies, ["conv", "turn"], "left")
         .join(_branches(replies), ["conv", "turn"], "left").join(linked, ["conv", "turn"], "left")
     )
-    text_of = F.regexp_replace(F.coalesce("clean", "text", F.lit("")), r"^(?:[\x20\x09-\x0D]*\n)+|(?:\n[\x20\x09-\x0D]*)+$", "")
+    text_of = _trimmed(F.coalesce("clean", "text", F.lit("")))
     return found.select(
         F.col("conv").alias("conv_id"), "turn", "role", text_of.alias("clean_text"),
         F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
