@@ -11,11 +11,14 @@ later copy, and the windows of later copies that overlap join into maximal repea
 
 Ranks are counted, not sorted row by row: a group's rank is its parent's rank plus the sizes of the
 groups before it, summed in two levels of windows over groups, so a line that owns a
-third of all rows is one row by then.
+third of all rows is one row by then. Only groups with more than one row are ranked; lines that occur once never enter a window,
+and both levels have some square root of the number of lines at most, as digests and ranks spread evenly.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,11 +29,11 @@ from saleswh.storage import stage
 #: A repeated run counts from so many lines on, or as a single line of MIN_WORDS words.
 MIN_LINES = 2
 MIN_WORDS = 50
-BUCKETS = 4096
+_SPACE = " \t\n\x0b\x0c\r"
 
 
 def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    return F.trim(line, F.lit(_SPACE))
 
 
 def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -74,17 +77,26 @@ def _ranked(groups: DataFrame, parent: list[str], order: str, bucket: Column) ->
     return summed.join(sums, [*parent, "bucket"]).withColumn("before", F.col("base") + F.col("inside"))
 
 
-def tied_suffixes(lines: DataFrame, depth: int) -> DataFrame:
-    """doc, mark, pos, rank, first: suffixes that share their first ``depth`` lines with another one.
+def tied_lines(lines: DataFrame, all_lines: int) -> DataFrame:
+    """doc, mark, pos, line_no, long, rank, first: the lines that occur more than once.
 
-    rank orders them by these lines; first is the place of the first suffix of the rank.
+    rank orders them by their digests; first is the place of the first line of the rank.
     """
-    groups = lines.groupBy("line").agg(F.count("*").alias("n"), F.min(_place()).alias("first"))
-    # the digest's first 12 bits split all lines evenly and in order
-    bucket = F.conv(F.substring(F.hex("line"), 1, 3), 16, 10).cast("int")
-    shared = _ranked(groups, [], "line", bucket).filter("n > 1").select("line", F.col("before").alias("rank"), "first")
-    tied = stage(lines.join(shared, "line").select("doc", "mark", "pos", "line_no", "long", "rank", "first"), "tied")
-    all_lines = max(lines.count(), 1)
+    groups = lines.groupBy("line").agg(F.count("*").alias("n"), F.min(_place()).alias("first")).filter("n > 1")
+    # the digest's first 32 bits split all lines evenly and in order
+    head = F.conv(F.substring(F.hex("line"), 1, 8), 16, 10).cast("bigint")
+    bucket = F.shiftright(head * F.lit(_buckets(all_lines)), 32)
+    shared = _ranked(groups, [], "line", bucket).select("line", F.col("before").alias("rank"), "first")
+    return stage(lines.join(shared, "line").select("doc", "mark", "pos", "line_no", "long", "rank", "first"), "tied")
+
+
+def _buckets(all_lines: int) -> int:
+    return min(math.isqrt(all_lines) + 1, 1 << 30)
+
+
+def tied_suffixes(tied: DataFrame, all_lines: int, depth: int) -> DataFrame:
+    """doc, mark, pos, rank, first: suffixes that share their first ``depth`` lines with another one; tied: those of depth 1."""
+    buckets = _buckets(all_lines)
     h = 1
     while h < depth:
         shift = min(h, depth - h)
@@ -93,7 +105,7 @@ def tied_suffixes(lines: DataFrame, depth: int) -> DataFrame:
         same = F.col("doc").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")) & (F.col("pos") == F.col("p"))
         pairs = tied.join(ahead, same).select("doc", "mark", "pos", "rank", "next")
         groups = pairs.groupBy("rank", "next").agg(F.count("*").alias("n"), F.min(_place()).alias("first"))
-        bucket = F.floor(F.col("next") * BUCKETS / all_lines)
+        bucket = F.floor(F.col("next") * buckets / max(all_lines, 1))
         shared = _ranked(groups.filter("n > 1"), ["rank"], "next", bucket)
         shared = shared.select("rank", "next", (F.col("rank") + F.col("before")).alias("refined"), "first")
         tied = stage(
@@ -109,8 +121,9 @@ def removed_lines(found: DataFrame, min_lines: int, min_words: int) -> DataFrame
     """doc, mark, removed (line numbers), n_runs: later copies in each document that has some."""
     lines = stage(_line_table(found, min_words), "lines")
     later = _place() > F.col("first")
-    single = tied_suffixes(lines, 1)
-    runs = tied_suffixes(lines, min_lines).filter(later).select(
+    all_lines = lines.count()
+    single = tied_lines(lines, all_lines)
+    runs = tied_suffixes(single, all_lines, min_lines).filter(later).select(
         "doc", "mark", F.explode(F.sequence(F.col("pos"), F.col("pos") + (min_lines - 1))).alias("pos")
     )
     alone = single.filter(later & F.col("long")).select("doc", "mark", "pos")

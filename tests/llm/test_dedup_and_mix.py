@@ -212,3 +212,12 @@ def test_names_with_dots(spark):
     df = spark.createDataFrame([(1, "a b", "s"), (2, "a  b", "s")], "`a.b` long, `c.d` string, `e.f` string")
     assert [r.kept for r in exact_dedup(df, "a.b", "c.d").orderBy("doc_id").collect()] == [True, False]
     assert sorted(r.size for r in pareto_mix(df, "a.b", "c.d", "e.f").collect()) == [2, 2]
+
+
+def test_line_runs_of_long_blank_stretches(spark):
+    wide = "a" + " " * 200_000 + "b"
+    rows = [(1, f"{wide}\n\t x \x0b\r\nonce"), (2, f"  {wide}\nx\nother"), (3, " " * 200_000 + "\n" * 20_000)]
+    got = {r.row.doc_id: r for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].n_lines, got[1].n_removed) == (3, 0)
+    assert (got[2].n_lines, got[2].n_removed, got[2].n_runs, got[2].kept_text) == (3, 2, 1, "other")
+    assert (got[3].n_lines, got[3].n_removed, got[3].kept_text) == (0, 0, rows[2][1])
