@@ -253,7 +253,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     """One row per row of docs: doc_id, held_out, score, predicted.
 
     A null text counts as empty; an empty text is one empty line. Labels (doc_id, quality) serve the fit only; language,
-    source and key never enter a score. Labels that are null or name no document are ignored; rows that
+    source and key never enter a score. The fit takes at most SAMPLE_DOCS labelled documents of at most SAMPLE_LINES lines; longer
+    ones are scored like all others. Labels that are null or name no document are ignored; rows that
     repeat count again. Other columns are not read. No rows give no rows.
     """
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
