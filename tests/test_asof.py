@@ -137,6 +137,15 @@ def test_two_dimensions_at_once(spark, how):
     assert rows(got) == rows(chain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_versions_are_never_broadcast(timeline, how):
+    """Versions made from small files can be many, and a broadcast passes all of them through the driver."""
+    view = as_of_orders(timeline.orders, timeline.customers, timeline.products, how=how)
+    assert rows(view) == GOLDEN
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= 2
+
+
 def test_facts_are_shuffled_once(spark, timeline):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
