@@ -87,13 +87,24 @@ def decoded(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
 
-def plain_text(html: Column) -> Column:
-    """Visible text: block elements on lines of their own, white space collapsed, references decoded."""
+def _stripped(html: Column) -> Column:
+    """Text without tags, block elements as line ends."""
     text = F.regexp_replace(html, _HIDDEN, " ")
-    text = F.regexp_replace(F.regexp_replace(text, _BREAKS, "\n"), r"<[^>]*>", "")
-    text = decoded(text)
+    return F.regexp_replace(F.regexp_replace(text, _BREAKS, "\n"), r"<[^>]*>", "")
+
+
+def _collapsed(text: Column) -> Column:
+    """White space as one space, around line ends as none; line ends as one, at both sides as none."""
     text = F.regexp_replace(text, r"[ \t\r\f\x0B\x{A0}]+", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r"(?: ?\n)+ ?", "\n"), r"^\n+|\n+$", ""))
+    # spaces stand alone by now, so plain replacements take those at line ends
+    for edge in (" \n", "\n "):
+        text = F.replace(text, F.lit(edge), F.lit("\n"))
+    return F.trim(F.regexp_replace(F.regexp_replace(text, r"\n{2,}", "\n"), r"^\n+|\n+$", ""))
+
+
+def plain_text(html: Column) -> Column:
+    """Visible text: block elements on lines of their own, white space collapsed, references decoded."""
+    return _collapsed(decoded(_stripped(html)))
 
 
 def responses(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -118,7 +129,8 @@ def derivatives(found: DataFrame) -> DataFrame:
     head = F.when(cut > 0, F.substring(F.col("block"), F.lit(1), cut - 1)).otherwise(F.col("block"))
     body = F.when(cut > 0, F.substring(F.col("block"), cut + 4, F.length("block"))).otherwise("")
     parts = found.select("page_id", F.col("record_id").alias("refers_to"), "target_uri", "date", head.alias("head"), body.alias("body"))
-    parts = parts.withColumn("digest", sha256_label(F.col("body")))
+    # a column of its own: decoded() names its text several times, and inside inline() each of them would be worked out again
+    parts = parts.withColumns({"digest": sha256_label(F.col("body")), "stripped": _stripped(F.col("body"))})
     title = F.regexp_extract("body", r"(?is)<title\b[^>]*>(.*?)</title", 1)
     title = F.trim(F.regexp_replace(title, r"\s+", " "))
     links = F.transform(F.regexp_extract_all("body", F.lit(_HREF), F.lit(1)), lambda x: F.regexp_replace(x, _QUOTES, ""))
@@ -127,9 +139,10 @@ def derivatives(found: DataFrame) -> DataFrame:
         F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(x, r"\s+", " "), F.lit(CRLF))), ""),
         F.array_join(F.transform(F.split("head", CRLF), lambda x: F.concat(F.lit("http-header: "), x, F.lit(CRLF))), ""),
     )
+    parts = parts.withColumns({"fields": fields, "plain": _collapsed(decoded(F.col("stripped")))})
     both = F.array(
-        F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"), fields.alias("block")),
-        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), plain_text(F.col("body")).alias("block")),
+        F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"), F.col("fields").alias("block")),
+        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), F.col("plain").alias("block")),
     )
     return parts.select("*", F.inline(both)).select(
         "page_id", "record_type", record_id(F.col("record_type"), F.col("refers_to")).alias("record_id"), "refers_to",

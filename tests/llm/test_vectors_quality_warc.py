@@ -1,6 +1,8 @@
 """Vector links, line classifier and WARC records."""
 
 import hashlib
+import itertools
+import re
 
 import numpy as np
 import pytest
@@ -166,3 +168,18 @@ def test_clashing_names_and_long_pages(spark):
     df = spark.createDataFrame([(1, "u", page, "x", "y", 3)], "page_id long, url string, html string, block string, head string, body int")
     got = {r.record_type: r for r in warc.derivatives(warc.responses(df).withColumns({"head": F.lit(1), "digest": F.lit("d")})).collect()}
     assert got["conversion"].block == ("word & more " * 100_000).strip()
+
+
+def test_text_is_stripped_once(spark):
+    """What decoding and the records name several times is worked out once; white space at line ends goes in every mix."""
+    bits = [" ", "\n", "\t", "x", "&amp;"]
+    texts = ["".join(t) for n in range(5) for t in itertools.product(bits, repeat=n)] + ["<p>a \u00a0<br/> \r b</p> \n\n c<script>x</script>"]
+    pages = spark.createDataFrame([(i, "u", t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    found = warc.derivatives(warc.responses(pages))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("</(?:script|style") == 1
+    got = {r.page_id: r.block for r in found.collect() if r.record_type == "conversion"}
+    for i, t in enumerate(texts[:-1]):
+        words = re.sub(r"[ \t]+", " ", t.replace("&amp;", "&"))
+        assert got[i] == re.sub(r"(?: ?\n)+ ?", "\n", words).strip("\n").strip(" "), t
+    assert got[len(texts) - 1] == "a\nb\nc"
