@@ -14,14 +14,16 @@ Equal words are only a hint. Sets that share one are linked in rounds, so that a
 near copies never turns into all its pairs:
 
 1. each set against one other, the first set of most of the groups of equal words it is in;
-2. in each group of sets with an equal word, each set against the closest one of another component;
+2. in each group of sets with an equal word, the pairs that connect its components at the smallest distances: fewer than it has sets;
 3. every pair of such a group that still lies in two components and was not tried.
 
 Before each round groups inside one component leave, and so do sets that share fewer words with other
 components than they would with any one partner there.
 
 In rounds 2 and 3 pairs are compared in blocks by their bit sketches, in which every
-shingle flips one bit: a Hamming distance over the bound excludes a pair. What
+shingle flips one bit: a Hamming distance over the bound excludes a pair. Near copies share most of their words, so
+each set names the first few groups it is in, the largest first, and a group passes over a pair that also meets in one
+named before it: the first group that two sets share always keeps them. What
 is left is verified on the full sets. Every pair that shares a word ends up in one component or is
 compared, so no link between components is lost.
 """
@@ -47,6 +49,8 @@ from saleswh.storage import stage
 PERCENT = 80
 #: Sets compared with each other in one block.
 BLOCK = 2000
+#: Groups that a set names, so that later ones pass over pairs found there.
+NAMED = 8
 
 
 def bands(largest: int) -> list[tuple[int, int]]:
@@ -172,35 +176,95 @@ def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(axis=-1)
 
 
+def _met_before(earlier: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows i and j name a group in common; 0 names none."""
+    out = np.zeros(len(i), bool)
+    step = 1 << 16
+    for at in range(0, len(i), step):
+        x, y = earlier[i[at : at + step]], earlier[j[at : at + step]]
+        for k in range(earlier.shape[1]):
+            named = x[:, k, None]
+            out[at : at + step] |= ((named == y) & (named != 0)).any(axis=1)
+    return out
+
+
+def _forest(i: np.ndarray, j: np.ndarray, far: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Places of the pairs i, j that connect the labels at the smallest distances: a least spanning forest.
+
+    In each turn every label takes the first of its pairs in the order of distance, and labels so connected become one.
+    """
+    at = np.argsort(far, kind="stable")
+    kept = []
+    while True:
+        u, v = label[i[at]], label[j[at]]
+        apart = u != v
+        at, u, v = at[apart], u[apart], v[apart]
+        if not len(at):
+            return np.concatenate(kept) if kept else at
+        nth = np.arange(len(at))
+        first = np.full(len(label), len(at))
+        np.minimum.at(first, u, nth)
+        np.minimum.at(first, v, nth)
+        has = np.flatnonzero(first < len(at))
+        kept.append(at[np.unique(first[has])])
+        to = np.arange(len(label))
+        to[has] = u[first[has]] + v[first[has]] - has
+        # the only circles are two labels that took the same pair
+        root = (to[to] == np.arange(len(to))) & (np.arange(len(to)) < to)
+        to[root] = np.flatnonzero(root)
+        while (to[to] != to).any():
+            to = to[to]
+        label = to[label]
+
+
 def _near(table: pa.Table, percent: int, closest: bool) -> Iterator[pa.RecordBatch]:
-    """a, b: pairs of a block in two components whose bit sketches do not exclude a link.
+    """a, b: pairs of a block in two components whose bit sketches do not exclude a link, without those that met before.
 
-    closest: for each set only the one at the smallest distance.
+    closest: only pairs that connect the components of the block at the smallest distances. If a pair met before, others connect
+    the two as closely there.
     """
     ids, comps, sizes, side = (table.column(c).to_numpy() for c in ("set_id", "component", "n", "side"))
     two = side.any()
     bits = _same_length(table.column("parts").combine_chunks())
+    earlier = table.column("earlier").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    label = np.unique(comps, return_inverse=True)[1]
     step = max(1, 200_000 // max(bits.size, 1))
+    held, n_held = [], 0
     found_a, found_b = [], []
+
+    def connect() -> None:
+        i, j, far = (np.concatenate(x) for x in zip(*held))
+        at = _forest(i, j, far, label)
+        held[:] = [(i[at], j[at], far[at])]
+
+    def keep(i: np.ndarray, j: np.ndarray) -> None:
+        new = ~_met_before(earlier, i, j)
+        i, j = ids[i[new]], ids[j[new]]
+        found_a.append(np.minimum(i, j))
+        found_b.append(np.maximum(i, j))
+
     for at in range(0, len(ids), step):
         here = slice(at, at + step)
         small, large = np.minimum(sizes[here, None], sizes), np.maximum(sizes[here, None], sizes)
-        fits = (comps[here, None] != comps) & (small * 100 >= percent * large)
+        fits = (comps[here, None] != comps) & (small * 100 >= percent * large) & (ids[here, None] < ids)
         if two:
             fits &= side[here, None] != side
-        if not closest:
-            fits &= ids[here, None] < ids
         if not fits.any():
             continue
         far = _far(bits[here, None], bits)
         fits &= far <= most_different(small, large, percent)
-        if closest:
-            i = np.flatnonzero(fits.any(axis=1))
-            j = np.argmin(np.where(fits, far, np.iinfo(far.dtype).max)[i], axis=1)
-        else:
-            i, j = np.nonzero(fits)
-        found_a.append(np.minimum(ids[i + at], ids[j]))
-        found_b.append(np.maximum(ids[i + at], ids[j]))
+        i, j = np.nonzero(fits)
+        if not closest:
+            keep(i + at, j)
+        elif len(i):
+            held.append((i + at, j, far[i, j]))
+            n_held += len(i)
+            if n_held > 500_000:
+                connect()
+                n_held = len(held[0][0])
+    if held:
+        connect()
+        keep(*held[0][:2])
     if found_a:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], ["a", "b"])
 
@@ -232,6 +296,23 @@ def _not_excluded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[p
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """Rows (word, set_id, component, size) with earlier: the set's first NAMED groups that come before this one, filled up with 0.
+
+    Groups come in one order for all sets, by size, then word. A word 0 is never named.
+    """
+    own = Window.partitionBy("set_id")
+    nth = F.row_number().over(own.orderBy(F.desc("size"), "word"))
+    rows = rows.withColumn("nth", nth)
+    first = F.when(F.col("nth") <= NAMED, F.struct("nth", "word"))
+    # in the order of nth; every row takes those before it
+    rows = rows.withColumn("first", F.transform(F.sort_array(F.collect_list(first).over(own)), lambda x: x["word"]))
+    places = F.array(*[F.lit(k) for k in range(NAMED)])
+    named = F.transform(places, lambda k: F.when(k < F.col("nth") - 1, F.get("first", k)).otherwise(F.lit(0).cast("long")))
+    earlier = F.transform(named, lambda x: F.coalesce(x, F.lit(0).cast("long")))
+    return rows.select("word", "set_id", "component", earlier.alias("earlier"))
+
+
 def _candidates(hits: DataFrame, sets: DataFrame, percent: int, closest: bool) -> DataFrame:
     """Pairs a, b of two components to verify, from open groups; groups with the same members are compared once."""
     sizes = hits.groupBy("word").agg(
@@ -241,8 +322,8 @@ def _candidates(hits: DataFrame, sets: DataFrame, percent: int, closest: bool) -
     once = stage(sizes.groupBy("sum", "size").agg(F.min("word").alias("word"), F.first("a").alias("a"), F.first("b").alias("b")), "groups")
     twos = once.filter("size = 2").select("a", "b")
     twos = twos.join(sets.toDF("a", "n_a", "bits_a"), "a").join(sets.toDF("b", "n_b", "bits_b"), "b")
-    rows = hits.join(once.filter("size > 2").select("word"), "word", "left_semi")
-    rows = rows.select("word", "set_id", "component").join(sets, "set_id")
+    rows = hits.select("word", "set_id", "component").join(once.filter("size > 2").select("word", "size"), "word")
+    rows = rows.transform(_named).join(sets, "set_id")
     near = in_blocks(rows, "word", "set_id", BLOCK).mapInArrow(
         by_group(["word", "block"], partial(_near, percent=percent, closest=closest)), "a long, b long"
     )

@@ -1,6 +1,7 @@
 """Exact dedup, line runs, Jaccard join and mixing: nulls, ties, repeats, empty tables, clashing names."""
 
 import random
+import uuid
 
 import numpy as np
 import pytest
@@ -110,6 +111,76 @@ def test_jaccard_join(spark, seed):
     assert sorted(tuple(r) for r in got.collect()) == brute_jaccard(rows, 80)
 
 
+def test_pairs_are_named_once_not_by_every_word(spark, monkeypatch, tmp_path):
+    """Near copies that share many words: the rows made by comparing groups do not grow with the number of shared words."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(220)]
+    rows = []
+    for i in range(90):
+        text = list(base)
+        for _ in range(rng.randint(1, 9)):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(text), "s"))
+    plain = PJ.by_group
+
+    def counting(keys, each):
+        run = plain(keys, each)
+
+        def counted(batches):
+            for nth, batch in enumerate(run(batches)):
+                (tmp_path / f"{uuid.uuid4().hex}-{nth}").write_text(" ".join(f"{a}_{b}" for a, b in zip(*batch.to_pydict().values())))
+                yield batch
+
+        return counted
+
+    monkeypatch.setattr(PJ, "by_group", counting)
+    got = jaccard_join(docs(spark, rows))
+    assert sorted(tuple(r) for r in got.collect()) == brute_jaccard(rows, 80)
+    made = [pair for path in tmp_path.iterdir() for pair in path.read_text().split()]
+    assert made and len(made) <= 2 * len(set(made))
+
+
+def forest_by_hand(pairs, label):
+    """Kruskal's way: distances of the pairs that connect two parts, nearest first, and the parts."""
+    label, used = list(label), []
+    for far, i, j in sorted(pairs):
+        if label[i] != label[j]:
+            used.append(far)
+            label = [label[j] if x == label[i] else x for x in label]
+    return used, label
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_forest_connects_labels_at_least_distances(seed):
+    rng = np.random.default_rng(seed)
+    n = 40
+    label = rng.integers(0, n if seed % 2 else 12, n)
+    pairs = [(int(rng.integers(0, 6)), i, j) for i in range(n) for j in range(i) if rng.random() < (0.03, 0.1, 0.5)[seed % 3]]
+    far, i, j = (np.array([p[k] for p in pairs]) for k in range(3))
+    at = PJ._forest(i, j, far, np.unique(label, return_inverse=True)[1])
+    want, parts = forest_by_hand(pairs, label)
+    assert sorted(far[at].tolist()) == want
+    _, found = forest_by_hand([pairs[k] for k in at], label)
+    same = lambda x: [[a == b for b in x] for a in x]
+    assert same(found) == same(parts)
+
+
+@pytest.mark.parametrize("block", [2000, 20])
+def test_jaccard_join_of_chains(spark, monkeypatch, block):
+    """Long chains of links, their ends far apart, beside texts just below the bound, also in groups of many blocks."""
+    monkeypatch.setattr(PJ, "BLOCK", block)
+    rng = random.Random(8)
+    rows = []
+    for chain in range(3):
+        text = [f"c{chain}w{i}" for i in range(80)]
+        for _ in range(30):
+            rows.append((len(rows), " ".join(text), "s"))
+            for _ in range(rng.choice([1, 1, 2, 3])):
+                text[rng.randrange(len(text))] = f"y{rng.randrange(10**9)}"
+    rng.shuffle(rows)
+    assert sorted(tuple(r) for r in jaccard_join(docs(spark, rows)).collect()) == brute_jaccard(rows, 80)
+
+
 def test_bands_cover_all_partners():
     for n in range(1, 3000, 7):
         for m in range((n * 4 + 4) // 5, n + 1):
