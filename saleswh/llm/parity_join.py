@@ -367,7 +367,7 @@ def _undecided(placed: DataFrame) -> DataFrame:
     over = placed.groupBy("word").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
     placed = stage(placed.join(over.select("word"), "word", "left_semi"), "over")
     enough = placed.groupBy("set_id").agg(F.count("*").alias("n"), F.min("shared").alias("least")).filter("n >= least")
-    return stage(placed.join(enough.select("set_id"), "set_id", "left_semi"), "undecided")
+    return settle(placed.join(enough.select("set_id"), "set_id", "left_semi"), "undecided")
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -380,7 +380,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
     """
     texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
     kind = texts.schema["doc"].dataType.simpleString()
-    nodes = stage(
+    nodes = settle(
         texts.mapInArrow(partial(_sets_of, with_sketch=True), f"doc {kind}, n long, set_id long, parts array<long>"),
         "nodes",
     )
@@ -400,7 +400,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
     links = verified(starts.select(F.col("lead").alias("a"), F.col("set_id").alias("b")), full, percent)
 
     sets = nodes.filter("set_id is not null").groupBy("set_id").agg(F.first("n").alias("n"), F.first("parts").alias("parts"))
-    sets = stage(sets.join(hits.select("set_id").distinct(), "set_id", "left_semi"), "sketches")
+    sets = settle(sets.join(hits.select("set_id").distinct(), "set_id", "left_semi"), "sketches")
     tested = starts.toDF("b", "a").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for closest in (True, False):
         reached = components(links)
@@ -408,7 +408,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
             "word", "set_id", "shared", F.coalesce("component", "set_id").alias("component")
         )
         hits = _undecided(placed)
-        near = stage(_candidates(hits, sets, percent, closest).join(tested, ["a", "b"], "left_anti"), "near")
+        near = settle(_candidates(hits, sets, percent, closest).join(tested, ["a", "b"], "left_anti"), "near")
         links = stage(links.unionAll(verified(near, full, percent)), "links")
         tested = tested.unionAll(near)
         hits = hits.drop("component")
