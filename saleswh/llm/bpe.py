@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswh.llm.registry import query, table
-from saleswh.llm.staging import settle
+from saleswh.llm.staging import collect_garbage, settle
+from saleswh.storage import stage
 
 #: Most words whose codes are broadcast, and most bytes of one of them.
 FREQUENT = 1 << 16
@@ -130,10 +131,12 @@ def frequent_codes(texts: DataFrame, ranks: dict[bytes, int], pattern: str, most
         if left < 0:
             break
         least = level["level"]
-    chosen = counts.filter(F.col("level") >= least).select("word").repartition(
-        texts.sparkSession.sparkContext.defaultParallelism
-    )
-    return {r.word: tuple(r.ids) for r in chosen.select("word", folded_codes(F.col("word"), ranks).alias("ids")).collect()}
+    spark = texts.sparkSession
+    chosen = counts.filter(F.col("level") >= least).select("word").repartition(spark.sparkContext.defaultParallelism)
+    # the ranks make a plan of megabytes: without a shuffle it is planned and described once; Arrow's form is small beside rows
+    found = stage(chosen, "chosen").select("word", folded_codes(F.col("word"), ranks).alias("ids")).toArrow()
+    collect_garbage(spark)
+    return {word.as_py(): tuple(ids.as_py()) for word, ids in zip(found["word"], found["ids"])}
 
 
 def merged_codes(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleswh.storage import stage
+from saleswh.llm.staging import settle
 
 
 def _up(edges: DataFrame) -> DataFrame:
@@ -19,16 +19,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each step replaces a node's edges by edges to its smallest neighbour. Minima are combined
     before the shuffle and the join back can be split, so a node with very many edges is no
-    bottleneck. A written table ends each step; the steps grow with the logarithm of the longest path.
+    bottleneck. A settled table ends each step; the steps grow with the logarithm of the longest path.
     """
-    now = stage(_up(edges.toDF("u", "v")), "edges")
+    now = settle(_up(edges.toDF("u", "v")), "edges")
     while True:
         sym = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = _up(sym.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stage(_up(moved.unionAll(least.toDF("u", "v"))), "edges")
+        now = settle(_up(moved.unionAll(least.toDF("u", "v"))), "edges")
         # stars that share no node are final
         inner = now.join(now.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
         if inner.isEmpty() and now.groupBy("u").count().filter("count > 1").isEmpty():

@@ -43,7 +43,6 @@ from saleswh.llm.components import components
 from saleswh.llm.registry import query, table
 from saleswh.llm.shingles import mix, shingle_sets
 from saleswh.llm.staging import settle
-from saleswh.storage import stage
 
 #: Documents link from this percentage of common shingles on.
 PERCENT = 80
@@ -319,7 +318,7 @@ def _candidates(hits: DataFrame, sets: DataFrame, percent: int, closest: bool) -
         F.count("*").alias("size"), F.min("set_id").alias("a"), F.max("set_id").alias("b"),
         F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("sum"),
     )
-    once = stage(sizes.groupBy("sum", "size").agg(F.min("word").alias("word"), F.first("a").alias("a"), F.first("b").alias("b")), "groups")
+    once = settle(sizes.groupBy("sum", "size").agg(F.min("word").alias("word"), F.first("a").alias("a"), F.first("b").alias("b")), "groups")
     twos = once.filter("size = 2").select("a", "b")
     twos = twos.join(sets.toDF("a", "n_a", "bits_a"), "a").join(sets.toDF("b", "n_b", "bits_b"), "b")
     rows = hits.select("word", "set_id", "component").join(once.filter("size > 2").select("word", "size"), "word")
@@ -365,7 +364,7 @@ def _undecided(placed: DataFrame) -> DataFrame:
     one in another component all these are in open groups; a set in fewer of them leaves.
     """
     over = placed.groupBy("word").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    placed = stage(placed.join(over.select("word"), "word", "left_semi"), "over")
+    placed = settle(placed.join(over.select("word"), "word", "left_semi"), "over")
     enough = placed.groupBy("set_id").agg(F.count("*").alias("n"), F.min("shared").alias("least")).filter("n >= least")
     return settle(placed.join(enough.select("set_id"), "set_id", "left_semi"), "undecided")
 
@@ -391,12 +390,12 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
     hits = settle(hits.select("word", "set_id", "shared").distinct(), "hits")
     # every set is its own component so far
     alone = hits.withColumn("component", F.col("set_id"))
-    hits = stage(_undecided(alone).select("word", "set_id", "shared", F.min("set_id").over(same).alias("lead")), "hits")
+    hits = settle(_undecided(alone).select("word", "set_id", "shared", F.min("set_id").over(same).alias("lead")), "hits")
     full = sets_of(hits.select("set_id").distinct(), nodes, texts)
 
     # round 1: one partner each, the first set of most of its groups
     often = hits.filter("lead < set_id").groupBy("set_id", "lead").agg(F.count("*").alias("times"))
-    starts = stage(often.groupBy("set_id").agg(F.max_by("lead", F.struct("times", "lead")).alias("lead")), "starts")
+    starts = settle(often.groupBy("set_id").agg(F.max_by("lead", F.struct("times", "lead")).alias("lead")), "starts")
     links = verified(starts.select(F.col("lead").alias("a"), F.col("set_id").alias("b")), full, percent)
 
     sets = nodes.filter("set_id is not null").groupBy("set_id").agg(F.first("n").alias("n"), F.first("parts").alias("parts"))
@@ -409,7 +408,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
         )
         hits = _undecided(placed)
         near = settle(_candidates(hits, sets, percent, closest).join(tested, ["a", "b"], "left_anti"), "near")
-        links = stage(links.unionAll(verified(near, full, percent)), "links")
+        links = settle(links.unionAll(verified(near, full, percent)), "links")
         tested = tested.unionAll(near)
         hits = hits.drop("component")
     reached = components(links)

@@ -59,3 +59,15 @@ def test_heap_equals_scan(word):
 
 def test_no_rows(spark):
     assert bpe.encode_decode(spark.createDataFrame([], "doc_id long, text string"), PATH, PATTERN).count() == 0
+
+
+def test_ranks_are_planned_once(spark, monkeypatch):
+    """The statement that names all ranks has no shuffle, after which it would be planned and described anew."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans, to_arrow = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), to_arrow(df))[1])
+    texts = spark.createDataFrame([(t,) for t in TEXTS + TEXTS], "text string")
+    found = bpe.frequent_codes(texts, RANKS, PATTERN)
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "AdaptiveSparkPlan" not in plans[0]
+    assert found and all(codes == tuple(LIBRARY.encode_ordinary(word)) for word, codes in found.items())
