@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from saleswh.llm.pareto_mix import WORDS
 from saleswh.llm.registry import query, table
-from saleswh.storage import stage
+from saleswh.llm.staging import settle
 
 #: A repeated run counts from so many lines on, or as a single line of MIN_WORDS words.
 MIN_LINES = 2
@@ -33,7 +33,16 @@ _SPACE = " \t\n\x0b\x0c\r"
 
 
 def _trimmed(line: Column) -> Column:
-    return F.trim(line, F.lit(_SPACE))
+    """line without white space at its ends; the right end is looked at first, as trimming it lists every character."""
+    ends = F.substring(line, -1, 1).isin(list(_SPACE))
+    return F.when(ends, F.trim(line, F.lit(_SPACE))).otherwise(F.ltrim(line, F.lit(_SPACE)))
+
+
+def _has_words(line: Column, least: int) -> Column:
+    """Whether a trimmed line that is not blank has so many words: matched once, without a list of its words."""
+    space = WORDS.removeprefix("[^").removesuffix("]+")
+    pattern = rf"^(?:[^{space}]++[{space}]++){{{max(least, 1) - 1}}}+[^{space}]"
+    return (F.length(line) >= 2 * least - 1) & line.rlike(pattern)
 
 
 def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -51,7 +60,7 @@ def _line_table(found: DataFrame, min_words: int) -> DataFrame:
         found.select("doc", "mark", F.posexplode(F.filter(lines, lambda x: x["line"] != "")).alias("pos", "x"))
         .select(
             "doc", "mark", "pos", "x.line_no", F.unhex(F.md5("x.line")).alias("line"),
-            (F.regexp_count("x.line", F.lit(WORDS)) >= min_words).alias("long"),
+            _has_words(F.col("x.line"), min_words).alias("long"),
         )
         .distinct()
     )
@@ -87,7 +96,7 @@ def tied_lines(lines: DataFrame, all_lines: int) -> DataFrame:
     head = F.conv(F.substring(F.hex("line"), 1, 8), 16, 10).cast("bigint")
     bucket = F.shiftright(head * F.lit(_buckets(all_lines)), 32)
     shared = _ranked(groups, [], "line", bucket).select("line", F.col("before").alias("rank"), "first")
-    return stage(lines.join(shared, "line").select("doc", "mark", "pos", "line_no", "long", "rank", "first"), "tied")
+    return settle(lines.join(shared, "line").select("doc", "mark", "pos", "line_no", "long", "rank", "first"), "tied")
 
 
 def _buckets(all_lines: int) -> int:
@@ -108,18 +117,16 @@ def tied_suffixes(tied: DataFrame, all_lines: int, depth: int) -> DataFrame:
         bucket = F.floor(F.col("next") * buckets / max(all_lines, 1))
         shared = _ranked(groups.filter("n > 1"), ["rank"], "next", bucket)
         shared = shared.select("rank", "next", (F.col("rank") + F.col("before")).alias("refined"), "first")
-        tied = stage(
-            pairs.join(shared, ["rank", "next"])
-            .select("doc", "mark", "pos", F.col("refined").alias("rank"), "first"),
-            "tied",
-        )
+        tied = pairs.join(shared, ["rank", "next"]).select("doc", "mark", "pos", F.col("refined").alias("rank"), "first")
         h += shift
+        if h < depth:  # the next round reads it twice
+            tied = settle(tied, "tied")
     return tied
 
 
 def removed_lines(found: DataFrame, min_lines: int, min_words: int) -> DataFrame:
     """doc, mark, removed (line numbers), n_runs: later copies in each document that has some."""
-    lines = stage(_line_table(found, min_words), "lines")
+    lines = settle(_line_table(found, min_words), "lines")
     later = _place() > F.col("first")
     all_lines = lines.count()
     single = tied_lines(lines, all_lines)
@@ -127,9 +134,10 @@ def removed_lines(found: DataFrame, min_lines: int, min_words: int) -> DataFrame
         "doc", "mark", F.explode(F.sequence(F.col("pos"), F.col("pos") + (min_lines - 1))).alias("pos")
     )
     alone = single.filter(later & F.col("long")).select("doc", "mark", "pos")
+    # every line of a repeated run is a repeated line
     spots = runs.unionAll(alone).distinct().select(F.col("doc").alias("d"), F.col("mark").alias("m"), F.col("pos").alias("p"))
     same = F.col("doc").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")) & (F.col("pos") == F.col("p"))
-    per_doc = lines.join(spots, same).groupBy("doc", "mark").agg(
+    per_doc = single.join(spots, same).groupBy("doc", "mark").agg(
         F.collect_list("pos").alias("spots"), F.collect_list("line_no").alias("removed")
     )
     starts = F.array_except("spots", F.transform("spots", lambda p: p + 1))
@@ -157,13 +165,19 @@ def dedup_lines(
     cuts = removed_lines(_identified(docs, key, text), min_lines, min_words).withColumnRenamed("mark", "cut_mark")
     same = F.col("row").getField(key).eqNullSafe(F.col("doc")) & (F.col("mark") == F.col("cut_mark"))
     lines = F.split(whole, "\n")
-    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.transform(F.array_except(numbers, F.col("removed")), lambda i: F.element_at(lines, i + 1))
-    kept = F.when(F.col("removed").isNull(), F.col("row").getField(text)).otherwise(F.array_join(kept, "\n"))
+
+    def without_removed(split: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.size(split) - 1)
+        left = F.transform(F.array_except(numbers, F.col("removed")), lambda i: F.element_at(split, i + 1))
+        return F.array_join(left, "\n")
+
+    # the split text is an argument: inside the function of transform it would be computed again for every line
+    kept = F.transform(F.array(lines), without_removed)[0]
+    kept = F.when(F.col("removed").isNull(), F.col("row").getField(text)).otherwise(kept)
     return rows.join(cuts, same, "left").select(
         "row",
         kept.alias("kept_text"),
-        F.size(F.filter(lines, lambda x: _trimmed(x) != "")).cast("bigint").alias("n_lines"),
+        F.size(F.filter(lines, lambda x: F.ltrim(x, F.lit(_SPACE)) != "")).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce(F.col("n_runs"), F.lit(0)).cast("bigint").alias("n_runs"),
     )

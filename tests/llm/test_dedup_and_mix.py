@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from saleswh.llm.exact_dedup import exact_dedup
+from saleswh.llm import line_runs as LR
 from saleswh.llm.line_runs import dedup_lines
 from saleswh.llm.pareto_mix import pareto_mix
 from saleswh.llm import parity_join as PJ
@@ -292,3 +293,41 @@ def test_line_runs_of_long_blank_stretches(spark):
     assert (got[1].n_lines, got[1].n_removed) == (3, 0)
     assert (got[2].n_lines, got[2].n_removed, got[2].n_runs, got[2].kept_text) == (3, 2, 1, "other")
     assert (got[3].n_lines, got[3].n_removed, got[3].kept_text) == (0, 0, rows[2][1])
+
+
+@pytest.mark.parametrize("m", [2, 3, 5])
+def test_line_runs_write_each_table_once_and_none_after_the_last_round(spark, monkeypatch, m):
+    written = []
+    monkeypatch.setattr(LR, "settle", lambda df, label, f=LR.settle: written.append(label) or f(df, label))
+    rows = [(1, "a\nb\nc\nd\ne\nf", "s"), (2, "x\na\nb\nc\nd\ne\ny", "s")]
+    got = {r.row.doc_id: r.kept_text for r in dedup_lines(docs(spark, rows), min_lines=m).collect()}
+    assert got == {1: rows[0][1], 2: "x\ny"}
+    assert written == ["lines", "tied"] + ["tied"] * {2: 0, 3: 1, 5: 2}[m]
+
+
+def test_line_runs_split_a_long_text_once(spark):
+    n = 20_000
+    body = "\n".join(f"line {i // 2} {i % 2}" for i in range(n))
+    keep = "\n".join(f"other {i}" for i in range(n))
+    found = dedup_lines(docs(spark, [(1, body, "s"), (2, f"{keep}\n{body}\n\nend", "s")]))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "element_at(split(" not in plan  # would split the whole text again for every line that stays
+    got = {r.row.doc_id: r for r in found.collect()}
+    assert (got[2].kept_text, got[2].n_lines, got[2].n_removed, got[2].n_runs) == (f"{keep}\n\nend", 2 * n + 1, n, 1)
+    assert (got[1].kept_text, got[1].n_removed) == (body, 0)
+
+
+def test_long_lines_and_line_ends(spark):
+    """Against the plain expressions: a count of all words, and a trim of both ends."""
+    rng = random.Random(5)
+    lines = ["", " ", "\t\r", "\u00a0", " \u00a0 ", "\U0001f600 ", "a", " a", "a\x0b", "\x0cé é\r", "w " * 49, "w " * 50, "w\t \x0b" * 49 + "é", "x" * 99, "x" * 98 + " y"]
+    lines += ["".join(rng.choice("ab \t\x0b\x0c\ré\u2003") for _ in range(rng.randint(0, 140))) for _ in range(400)]
+    df = spark.createDataFrame([(x,) for x in lines], "raw string").withColumn("line", F.trim("raw", F.lit(LR._SPACE)))
+    assert df.filter(LR._trimmed(F.col("raw")) != F.col("line")).count() == 0
+    words = F.regexp_count("line", F.lit(LR.WORDS))
+    for least in (-1, 0, 1, 2, 3, 20, 49, 50, 51):
+        held = LR._has_words(F.col("line"), least)
+        assert df.filter("line <> ''").filter(held.isNull() | (held != (words >= least))).count() == 0, least
+    held = LR._has_words(F.col("line"), 60_000)
+    many = spark.createDataFrame([("w " * 59_999 + "w",), ("w " * 59_998 + "w" * 9,)], "line string")
+    assert [r[0] for r in many.select(held).collect()] == [True, False]
